@@ -134,6 +134,32 @@ VIEWS = {
                          CAST(day(o_orderdate) AS VARCHAR(2)) || ' '
                     WHEN '5-LOW' THEN '2024-02-30' ELSE 'n/a' END AS s
         FROM {orders}""",
+    # Pages with a publication date in one of four places, and without <article> for two languages.
+    "dated_pages": """
+        SELECT p.page_id,
+               CASE WHEN l.host LIKE 'm.%'
+                    THEN 'https://' || l.host || '/' || replace(e.day, '-', '/') || '/x'
+                    ELSE p.url END AS url,
+               CASE WHEN l.host LIKE 'blog.%' THEN replace(e.html, '<style>',
+                         '<meta property="article:published_time" content="' || e.day || 'T10:00:00Z"><style>')
+                    WHEN l.host LIKE 'www.%' THEN replace(e.html, '<style>',
+                         '<script>"datePublished": "' || e.day || '"</script><style>')
+                    WHEN l.host LIKE '%.net' THEN replace(e.html, '<footer>',
+                         '<time datetime="' || e.day || '"><footer>')
+                    ELSE e.html END AS html
+        FROM {pages} p JOIN {links} l ON l.page_id = p.page_id
+        JOIN (SELECT q.page_id, substring(CAST(v.ts AS VARCHAR(40)), 1, 10) AS day,
+                     CASE WHEN q.url LIKE '%/es/%' THEN replace(q.html, 'article>', 'section>')
+                          WHEN q.url LIKE '%/de/%' THEN replace(q.html, 'article>', 'main>')
+                          ELSE q.html END AS html
+              FROM {pages} q JOIN {events} v ON v.event_id = q.page_id) e ON e.page_id = p.page_id""",
+    "link_answers": """
+        SELECT l.url AS Link, a.answer, a.error
+        FROM {links} l JOIN {answers} a ON a.doc_id = l.page_id""",
+    "paragraphs": """
+        SELECT doc_id, CASE WHEN lang = 'en' THEN replace(text, chr(10), chr(10) || chr(10))
+                            ELSE text END AS text
+        FROM {documents}""",
     "texts": """
         SELECT doc_id, source AS person, CASE WHEN lang = 'de' THEN NULL
                     ELSE source || ' in ' || lang END AS title,
@@ -148,7 +174,7 @@ VIEWS = {
         FROM {labels}""",
 }
 
-_REF = re.compile(r"\{(\w+)\}")
+_REF = re.compile(r"(?<!\\x)\{([a-z]\w*)\}")
 
 
 def needed(names: list[str]) -> list[str]:

@@ -103,9 +103,11 @@ def drop_links_with(
         r[0] for r in rules.select(F.length("__piece")).distinct().collect())  # at most ANCHOR + 1
     links = df.select("Link", link.alias("__text")).where("__text IS NOT NULL").distinct()
     starts = F.sequence(F.lit(1), F.greatest(F.length("__text"), F.lit(1)))
-    pieces = F.array_distinct(F.flatten(F.array(*[
-        F.transform(starts, lambda i, n=n: F.substring(F.col("__text"), i, F.lit(n)))
-        for n in lengths])))
+
+    def cut(size: int) -> Column:
+        return F.transform(starts, lambda i: F.substring(F.col("__text"), i, F.lit(size)))
+
+    pieces = F.array_distinct(F.flatten(F.array(*[cut(size) for size in lengths])))
     blocked = (
         links.withColumn("__piece", F.explode(pieces)).join(rules, "__piece")
         .where(F.col("__text").contains(F.col("__word"))).select("Link").distinct())

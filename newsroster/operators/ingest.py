@@ -134,8 +134,36 @@ def item_row(person: Column, item: Column) -> list[Column]:
     return [value.alias(name) for value, name in zip(values, RAW_COLUMNS)]
 
 
+def flatten_items(queries: DataFrame, items: DataFrame) -> DataFrame:
+    """Raw rows of flat items (query, page, pos, item) plus one placeholder per empty query.
+
+    Items are projected where they lie. Only the distinct queries that have some meet the query
+    list, so a query with a third of all items costs no more than any other.
+    """
+    rows = items.select("query", "page", "pos", *item_row(F.col("query"), F.col("item")))
+    found = items.select("query").distinct()
+    missing = queries.select("query").join(found, "query", "left_anti")
+    empty = [F.lit("").alias(name) for name in RAW_COLUMNS[1:]]
+    placeholders = missing.select(
+        "query", F.lit(0).alias("page"), F.lit(0).cast("long").alias("pos"),
+        F.col("query").alias("Person"), *empty)
+    return rows.unionByName(placeholders)
+
+
+def items_by_query(items: DataFrame) -> DataFrame:
+    """(query, items) lists in page order. For capped items: a list must fit a row."""
+    def compare(a: Column, b: Column) -> Column:
+        later = (a["page"] > b["page"]) | ((a["page"] == b["page"]) & (a["pos"] > b["pos"]))
+        return F.when(later, 1).otherwise(-1)
+
+    placed = F.collect_list(F.struct("page", "pos", "item"))
+    return (
+        items.groupBy("query").agg(F.array_sort(placed, compare).alias("placed"))
+        .select("query", F.transform("placed", lambda p: p["item"]).alias("items")))
+
+
 def flatten_completed(completed: DataFrame) -> DataFrame:
-    """Raw rows of (query, query_ord, items); a query without items keeps one placeholder row."""
+    """Raw rows of stored lists (query, query_ord, items); an empty list keeps one placeholder."""
     return (
         completed.select("query", "query_ord", F.posexplode_outer("items").alias("pos", "item"))
         .select("query_ord", F.coalesce("pos", F.lit(0)).alias("pos"),

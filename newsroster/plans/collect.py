@@ -44,10 +44,7 @@ def page_items(pages: DataFrame, max_results: int) -> DataFrame:
 
 def finished_queries(pages: DataFrame, max_results: int) -> DataFrame:
     """(query, items) of the queries that ended normally; a list holds the cap at most."""
-    lists = (
-        page_items(pages, max_results).groupBy("query")
-        .agg(F.sort_array(F.array_agg(F.struct("page", "pos", "item"))).alias("placed"))
-        .select("query", F.transform("placed", lambda p: p["item"]).alias("items")))
+    lists = ingest.items_by_query(page_items(pages, max_results))
     done = pages.where("status = 'done'").select("query").distinct()
     return done.join(lists, "query", "left").withColumn(
         "items", F.coalesce("items", F.array().cast(lists.schema["items"].dataType)))
