@@ -10,15 +10,17 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.files import read_table
 from ..sources.payloads import is_meta
 
 BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
         "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 VIEWS = {
-    # One search hit per page.
+    # One search hit per page. The hint (a comment elsewhere) keeps the title extraction out of
+    # the joins below, where it would run once per match.
     "links": """
-        SELECT page_id, url, regexp_extract(url, '//([^/?#]*)', 1) AS host,
+        SELECT /*+ REPARTITION(page_id) */ page_id, url, regexp_extract(url, '//([^/?#]*)', 1) AS host,
                regexp_extract(html, '<title>([^<]*)</title>', 1) AS title
         FROM {pages}""",
     # Every event is a hit on a page; "other" is a second page of the same hit.
@@ -174,6 +176,9 @@ VIEWS = {
         FROM {labels}""",
 }
 
+# Tables with long texts, and the key that spreads them.
+WIDE = {"pages": "page_id", "documents": "doc_id"}
+
 _REF = re.compile(r"(?<!\\x)\{([a-z]\w*)\}")
 
 
@@ -213,7 +218,7 @@ class Landed:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return read_table(self.spark, f"{self.folder}/{name}.parquet", WIDE.get(name))
         if name not in VIEWS:
             raise AttributeError(name)
         refs = {ref: getattr(self, ref) for ref in set(_REF.findall(VIEWS[name]))}

@@ -14,6 +14,22 @@ MISSING = [
 ]
 
 
+SMALL_TABLE = 256 << 20
+
+
+def read_table(spark: SparkSession, path, spread_by: str | None = None) -> DataFrame:
+    """Parquet scan. A table with long texts that is small may sit in one row group, which one
+    task would read: below 256 MB it is spread by ``spread_by``. Large tables split by themselves.
+    """
+    rows = spark.read.parquet(path)
+    if spread_by is None:
+        return rows
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= SMALL_TABLE:
+        return rows
+    return rows.repartition(spark.sparkContext.defaultParallelism, spread_by)
+
+
 def read_csv(spark: SparkSession, path, schema: T.StructType = RAW) -> DataFrame:
     """Header CSV with quoted commas, quotes and newlines; missing-value words become null."""
     rows = (
