@@ -101,7 +101,7 @@ def stream_resume(spark, folder):
     root = scratch_path(spark, "stream")
     for provider in ("google", " SearXNG "):
         landed.where(F.col("provider") == provider).write.mode("append").parquet(f"{root}/landed")
-        resume(spark, f"{root}/landed", f"{root}/items", f"{root}/checkpoint", max_files=4)
+        resume(spark, f"{root}/landed", f"{root}/items", f"{root}/checkpoint", max_files=16)
     return spark.read.parquet(f"{root}/items").drop("batch")
 
 

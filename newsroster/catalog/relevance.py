@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import answers as A
+from ..functions import text as X
 from ..functions.text import WHITESPACE
 from ..operators import relevance as R
 from .landed import Landed, oracle
@@ -50,8 +51,9 @@ def parse_score(spark, folder):
 
 
 def length_score(spark, folder):
-    return Landed(spark, folder).texts.select(
-        "doc_id", R.fallback_score(F.col("title_text")).alias("score"))
+    words = X.word_count(F.col("title_text"))
+    return Landed(spark, folder).texts.select("doc_id", words.alias("words")).select(
+        "doc_id", R.fallback_score(F.col("words")).alias("score"))
 
 
 def relevance_scores(spark, folder):

@@ -61,9 +61,7 @@ def says_yes(answer: Column) -> Column:
     return F.lower(strip(answer)).startswith("y")
 
 
-def length_score(words: Column, bands: list[tuple[int, int]]) -> Column:
-    """Score of the first band whose minimum word count is reached, else 0."""
-    chain = reduce(
-        lambda acc, band: (F if acc is None else acc).when(words >= band[0], F.lit(band[1])),
-        bands, None)
-    return chain.otherwise(F.lit(0))
+def length_score(words: Column, minimums: list[int]) -> Column:
+    """One point for every minimum word count that is reached."""
+    return reduce(
+        lambda total, least: total + (words >= least).cast("int"), minimums, F.lit(0))

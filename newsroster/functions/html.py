@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .binding import let
 from .dates import iso_day
 from .text import collapse
 
@@ -23,7 +24,8 @@ TAG = r"(?s)<[!/a-zA-Z][^>]*>"
 BLOCK_END = r"(?i)</(?:p|div|h[1-6]|li|ul|ol|section|blockquote|tr|table|pre|figure)\s*>|<br\s*/?>"
 
 
-def _visible(html: Column) -> Column:
+def visible(html: Column) -> Column:
+    """Html without comments, scripts, styles and templates."""
     return F.regexp_replace(F.regexp_replace(html, COMMENT, ""), UNSEEN, "")
 
 
@@ -33,24 +35,30 @@ def _decode(text: Column) -> Column:
     return text
 
 
-def page_text(html: Column) -> Column:
-    """All visible text, tags dropped without a separator, whitespace collapsed."""
-    return collapse(_decode(F.regexp_replace(_visible(html), TAG, "")))
+def text_of(visible_html: Column) -> Column:
+    return collapse(_decode(F.regexp_replace(visible_html, TAG, "")))
 
 
-def article_body(html: Column) -> Column:
-    """Text of ``<article>``, else of ``<main>``, paragraphs apart by a blank line; else null."""
-    visible = _visible(html)
-
+def article_of(visible_html: Column) -> Column:
     def inner(tag: str) -> Column:
-        found = F.regexp_extract(visible, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}\s*>", 1)
-        return F.nullif(found, F.lit(""))
+        found = F.regexp_extract(visible_html, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}\s*>", 1)
+        return let(found, lambda text: F.when(text != "", text))
 
     # U+0001 marks block ends while whitespace is collapsed around it.
     marked = F.regexp_replace(F.coalesce(inner("article"), inner("main")), BLOCK_END, "\u0001")
     flat = collapse(_decode(F.regexp_replace(marked, TAG, "")))
-    joined = F.regexp_replace(flat, " *\u0001[ \u0001]*", "\n\n")
-    return F.nullif(F.regexp_replace(joined, r"^\n+|\n+\z", ""), F.lit(""))
+    joined = F.btrim(F.regexp_replace(flat, " *\u0001[ \u0001]*", "\n\n"), F.lit("\n"))
+    return let(joined, lambda text: F.when(text != "", text))
+
+
+def page_text(html: Column) -> Column:
+    """All visible text, tags dropped without a separator, whitespace collapsed."""
+    return text_of(visible(html))
+
+
+def article_body(html: Column) -> Column:
+    """Text of ``<article>``, else of ``<main>``, paragraphs apart by a blank line; else null."""
+    return let(visible(html), article_of)
 
 
 def page_title(html: Column) -> Column:

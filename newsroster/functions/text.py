@@ -6,6 +6,8 @@ from string import Formatter
 
 from pyspark.sql import Column, functions as F
 
+from .binding import let
+
 # The characters Python's str.split()/str.strip() treat as whitespace, as a class
 # body for regular expressions and as plain characters below and above U+1680.
 WHITESPACE = (
@@ -22,9 +24,15 @@ _NARROW = "".join(rf"\x{ord(c):02x}" for c in NARROW_SPACES)
 
 
 def _narrowed(text: Column) -> Column:
-    """Wide whitespace replaced by plain spaces, behind two cheap tests that most texts fail."""
-    wide = text.rlike(r"[\x{1680}-\x{ffff}]") & contains_any(text, list(WIDE_SPACES))
-    return F.when(wide, F.regexp_replace(text, f"[{WIDE_SPACES}]", " ")).otherwise(text)
+    """Wide whitespace replaced by plain spaces, behind two cheap tests that most texts fail.
+
+    Bound once: the text is often a long chain of replacements itself.
+    """
+    def narrowed(value: Column) -> Column:
+        wide = value.rlike(r"[\x{1680}-\x{ffff}]") & contains_any(value, list(WIDE_SPACES))
+        return F.when(wide, F.regexp_replace(value, f"[{WIDE_SPACES}]", " ")).otherwise(value)
+
+    return let(text, narrowed)
 
 
 def strip(text: Column) -> Column:
@@ -48,8 +56,7 @@ def is_blank(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    words = F.size(F.split(_narrowed(strip(text)), f"[{_NARROW}]+", -1))
-    return F.when(strip(text) == "", 0).otherwise(words)
+    return F.size(F.array_remove(F.split(_narrowed(text), f"[{_NARROW}]+", -1), ""))
 
 
 def paragraph_count(text: Column) -> Column:

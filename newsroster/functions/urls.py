@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
+from .binding import let
+
 
 def netloc(url: Column) -> Column:
     """Authority part with user and port kept; empty when the URL has no ``//``."""
@@ -22,9 +26,17 @@ def domain_keys(host: Column) -> Column:
     the hosts with the rule among their label suffixes and label prefixes. That turns the
     three-way string condition into an equality.
     """
-    labels = F.split(host, r"\.", -1)
-    n = F.size(labels)
-    steps = F.sequence(F.lit(1), n)
-    suffixes = F.transform(steps, lambda i: F.array_join(F.slice(labels, i, n), "."))
-    prefixes = F.transform(steps, lambda i: F.array_join(F.slice(labels, F.lit(1), i), "."))
-    return F.array_union(suffixes, prefixes)
+    def keys(labels: Column) -> Column:
+        n = F.size(labels)
+        steps = F.sequence(F.lit(1), n)
+        return F.array_union(
+            F.transform(steps, lambda i: F.array_join(F.slice(labels, i, n), ".")),
+            F.transform(steps, lambda i: F.array_join(F.slice(labels, F.lit(1), i), ".")))
+
+    return let(F.split(host, r"\.", -1), keys)
+
+
+def matches_domain(host: Column, rules: list[str]) -> Column:
+    """The same three-way condition for a short list, as one pattern over the host."""
+    names = "|".join(re.escape(rule) for rule in rules)
+    return host.rlike(rf"^(?:{names})(?:\.|\z)|\.(?:{names})\z")

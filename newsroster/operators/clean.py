@@ -63,7 +63,7 @@ def remove_by_links(df: DataFrame, patterns, literal: bool = False) -> DataFrame
 def drop_blocked_domains(df: DataFrame, domains, as_table: bool | None = None) -> DataFrame:
     """Drop links whose host equals a rule, ends with ``.rule`` or starts with ``rule.``.
 
-    Few rules become a literal set probed per row. A large table is joined on host keys: first
+    Few rules become one scan-time pattern. A large table is joined on host keys: first
     the distinct hosts against the rules, then the mentions against the blocked hosts.
     """
     values = None if as_table else literal_rules(domains)
@@ -71,8 +71,7 @@ def drop_blocked_domains(df: DataFrame, domains, as_table: bool | None = None) -
     if values is not None:
         if not values:
             return df
-        hit = F.exists(urls.domain_keys(host), lambda key: key.isin(values))
-        return df.where(~F.coalesce(hit, F.lit(False)))
+        return df.where(~F.coalesce(urls.matches_domain(host, values), F.lit(False)))
     rules = rule_table(df.sparkSession, domains, "__key")
     hosts = df.select(host.alias("__host")).where("__host IS NOT NULL").distinct()
     blocked = (
@@ -105,7 +104,7 @@ def drop_links_with(
     starts = F.sequence(F.lit(1), F.greatest(F.length("__text"), F.lit(1)))
 
     def cut(size: int) -> Column:
-        return F.transform(starts, lambda i: F.substring(F.col("__text"), i, F.lit(size)))
+        return F.transform(starts, lambda i: F.substring("__text", i, F.lit(size)))
 
     pieces = F.array_distinct(F.flatten(F.array(*[cut(size) for size in lengths])))
     blocked = (

@@ -11,18 +11,16 @@ TEXT = "Title text"
 TEXT_LIMIT = 1500
 
 
-def page_facts(pages: DataFrame, keep_full_text: bool = False) -> DataFrame:
+def page_facts(pages: DataFrame) -> DataFrame:
     """One row per URL, first fetched wins: article, page_text and page_date instead of html.
 
     The html is reduced inside the scan stage; only short columns reach the shuffle. Texts are
     built from the whole page and then cut to the length mentions store.
     """
-    def cut(text: Column) -> Column:
-        return text if keep_full_text else F.left(text, F.lit(TEXT_LIMIT))
-
-    facts = pages.select(
-        "page_id", "url", cut(html.article_body(F.col("html"))).alias("article"),
-        cut(html.page_text(F.col("html"))).alias("page_text"),
+    facts = pages.withColumn("__visible", html.visible(F.col("html"))).select(
+        "page_id", "url",
+        F.left(html.article_of(F.col("__visible")), F.lit(TEXT_LIMIT)).alias("article"),
+        F.left(html.text_of(F.col("__visible")), F.lit(TEXT_LIMIT)).alias("page_text"),
         html.publish_date(F.col("html"), F.col("url")).alias("page_date"))
     return first_per_key(facts, ["url"], [F.col("page_id")]).drop("page_id")
 

@@ -14,7 +14,7 @@ from ..functions import text as X
 DATE_TOKENS = ["Published", "published", "©", "20", "19"]
 BYLINE_TOKENS = ["By ", "by "]
 ARTICLE_WORDS, ARTICLE_PARAGRAPHS = 200, 2
-LENGTH_BANDS = [(300, 3), (100, 2), (1, 1)]
+LENGTH_STEPS = [1, 100, 300]
 ARTICLE_CUT, RELEVANCE_CUT, TITLE_CUT = 2000, 3000, 300
 NO_PERSON, NO_TEXT = "(unknown)", "(no text extracted)"
 
@@ -75,38 +75,34 @@ def keep_articles(df: DataFrame, text: str, answer: str, error: str | None = Non
     return df.where(keep)
 
 
-def fallback_score(text: Column) -> Column:
-    return A.length_score(
-        F.coalesce(X.word_count(text), F.lit(0)), LENGTH_BANDS)
-
-
-def relevance(title: Column, text: Column, answer: Column, error: Column | None = None) -> Column:
-    """Score 0-5: the answer's digit, else by length; 0 for an error or a missing title."""
-    failed = title.isNull()
-    if error is not None:
-        failed = failed | F.coalesce(error, F.lit(False))
-    return F.when(failed, F.lit(0)).otherwise(
-        F.coalesce(A.parse_score(answer), fallback_score(text)))
+def fallback_score(words: Column) -> Column:
+    """Score by length alone: 0 without words, one more from 1, 100 and 300 words on."""
+    return A.length_score(F.coalesce(words, F.lit(0)), LENGTH_STEPS)
 
 
 def relevance_scores(
     mentions: DataFrame, replies: DataFrame | None, key: str, text: str = "Title text",
 ) -> DataFrame:
-    """Add ``Relevance``; every row stays.
+    """Add ``Relevance``: the answer's digit, else by length; 0 for an error or a missing title.
 
-    ``replies`` holds at most one row (key, answer, error) per mention, or is None when no model
-    ran. It carries no text, so only the short reply travels to the mention.
+    Every row stays. ``replies`` holds at most one row (key, answer, error) per mention, or is
+    None when no model ran. It carries no text, so only the short reply travels to the mention.
+    Words are counted only where the length decides.
     """
-    value = F.col(f"`{text}`")
     if replies is None:
-        nothing = F.lit(None).cast("string")
-        return mentions.withColumn("Relevance", relevance(F.col("Title"), value, nothing))
-    joined = mentions.join(
-        replies.select(key, F.col("answer").alias("__answer"), F.col("error").alias("__error")),
-        key, "left")
-    return joined.withColumn(
-        "Relevance", relevance(F.col("Title"), value, F.col("__answer"), F.col("__error"))
-    ).drop("__answer", "__error")
+        replied = mentions.withColumns({
+            "__answer": F.lit(None).cast("string"), "__error": F.lit(False)})
+    else:
+        replied = mentions.join(replies.select(
+            key, F.col("answer").alias("__answer"), F.col("error").alias("__error")), key, "left")
+    failed = F.col("Title").isNull() | F.coalesce("__error", F.lit(False))
+    digit = F.when(failed, 0).otherwise(A.parse_score(F.col("__answer")))
+    return (
+        replied.withColumn("__digit", digit)
+        .withColumn("__words", F.when(
+            F.col("__digit").isNull(), X.word_count(F.col(f"`{text}`"))))
+        .withColumn("Relevance", F.coalesce("__digit", fallback_score(F.col("__words"))))
+        .drop("__answer", "__error", "__digit", "__words"))
 
 
 Scorer = Callable[[Column, Column, Column], Column]

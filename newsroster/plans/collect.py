@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import let
 from ..operators import ingest, planning, state
-from ..operators.clean import first_per_key
-from ..sources.payloads import explode_items, is_meta, with_items
+from ..sources.payloads import is_meta, with_items
 
 
 @dataclass(frozen=True)
@@ -30,24 +30,32 @@ def query_pages(landed: DataFrame) -> DataFrame:
     return ingest.partial_results(ingest.stop_reason(pages))
 
 
-def page_items(pages: DataFrame, max_results: int) -> DataFrame:
-    """Capped items of usable pages; repeated links are dropped in the meta dialect only."""
-    items = explode_items(pages.where("usable"))
-    meta, link = is_meta(F.col("provider")), F.coalesce("item.link", F.lit(""))
-    place = F.concat_ws(":", "page", "pos")
-    keyed = (
-        items.withColumn("__same", F.when(meta, F.concat(F.lit("u"), link)).otherwise(place))
-        .where(~meta | (link != "")))
-    unique = first_per_key(keyed, ["query", "__same"], [F.col("page"), F.col("pos")])
-    return ingest.cap_per_query(unique, max_results).drop("__same")
+def query_outcomes(pages: DataFrame, max_results: int) -> DataFrame:
+    """One row per query: status and its capped items in page order.
 
-
-def finished_queries(pages: DataFrame, max_results: int) -> DataFrame:
-    """(query, items) of the queries that ended normally; a list holds the cap at most."""
-    lists = ingest.items_by_query(page_items(pages, max_results))
-    done = pages.where("status = 'done'").select("query").distinct()
-    return done.join(lists, "query", "left").withColumn(
-        "items", F.coalesce("items", F.array().cast(lists.schema["items"].dataType)))
+    A query has ten pages at most, so its pages fit one row. The meta dialect drops results
+    without a link and repeated links. Grouping follows the window of ``query_pages`` by the same
+    key and needs no shuffle of its own.
+    """
+    def by_page(a: Column, b: Column) -> Column:
+        return F.when(a["page"] > b["page"], 1).otherwise(-1)
+
+    def unique(hits: Column) -> Column:
+        both = F.struct(hits.alias("hits"), F.transform(hits, lambda h: h["link"]).alias("links"))
+        return let(both, lambda b: F.filter(
+            b["hits"], lambda h, i: (h["link"] != "")
+            & (F.array_position(b["links"], h["link"]) == i + 1)))
+
+    lists = F.collect_list(F.when(F.col("usable"), F.struct("page", "items")))
+    grouped = pages.groupBy("query").agg(
+        F.max("status").alias("status"), F.bool_or(is_meta(F.col("provider"))).alias("meta"),
+        F.array_sort(lists, by_page).alias("lists"))
+    hits = F.flatten(F.transform("lists", lambda p: p["items"]))
+    return (
+        grouped.select("query", "status", "meta", hits.alias("hits"))
+        .select("query", "status", F.slice(
+            F.when(F.col("meta"), unique(F.col("hits"))).otherwise(F.col("hits")),
+            F.lit(1), F.lit(max_results)).alias("items")))
 
 
 def collect(
@@ -63,12 +71,18 @@ def collect(
     queries = planning.expand_roster(roster, optional, spellings)
     pending = state.pending_queries(queries, completed)
     pages = query_pages(landed.join(pending.select("query"), "query", "left_semi"))
-    done = finished_queries(pages, max_results)
-    failed = pages.where("status = 'failed'").select("query").distinct()
-    counted = state.record_failures(failures, failed)
-    tried = counted.join(failed, "query", "left_semi")
-    done = done.unionByName(state.abandoned(tried, completed, give_up_after))
-    completed, failures = state.mark_done(completed, counted, done)
+    run = query_outcomes(pages, max_results).join(
+        failures.withColumnRenamed("n", "before"), "query", "full")
+    failed = F.coalesce(F.col("status") == "failed", F.lit(False))
+    counted = run.withColumn("n", F.coalesce("before", F.lit(0)) + failed.cast("int"))
+    given_up = failed & (F.col("n") >= give_up_after)
+    finished = given_up | F.coalesce(F.col("status") == "done", F.lit(False))
+    nothing = F.array().cast(completed.schema["items"].dataType)
+    done = counted.where(finished).select(
+        "query", F.when(given_up, nothing).otherwise(F.col("items")).alias("items"))
+    # Pending and completed queries are disjoint, so the upsert is a union.
+    completed = completed.select("query", "items").unionByName(done)
+    failures = counted.where(~finished & (F.col("n") > 0)).select("query", "n")
     ordered = completed.join(
         queries.select("query", F.struct("ord", "pos").alias("query_ord")), "query", "left")
     return Collected(queries, completed, failures, raw_rows(ordered))
