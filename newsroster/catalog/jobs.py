@@ -75,12 +75,10 @@ def publish_job(spark, folder):
         F.lit("").alias("Pronounciations"))
     none = spark.createDataFrame([], LANDED)
     run = collect(names, none, everyone, landed.failure_counts)
-    mentions = run.raw.select("ord", *[
-        F.nullif(F.col(c), F.lit("")).alias(c) for c in ("Person", "Title", "Date", "Source", "Link")])
-    ranked = process(mentions, Rules(), landed.pages)
     root = scratch_path(spark, "publish")
     store = StateStore(spark, f"{root}/state")
-    out = publish(run, ranked, store, root, AT, landed.board)
+    out = publish(run, lambda mentions: process(mentions, Rules(), landed.pages), store, root, AT,
+                  landed.board)
     written = spark.read.option("header", True).csv(out["ranked"]).agg(
         F.count(F.lit(1)).alias("ranked_rows"))
     left = store.load()[0].agg(F.count(F.lit(1)).alias("state_rows"))

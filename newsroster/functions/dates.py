@@ -11,9 +11,9 @@ def compact_date(text: Column) -> Column:
     """``YYYY-MM-DD`` (unpadded allowed) or ``YYYYMMDD`` to ``YYYYMMDD``; null if invalid."""
     value = strip(text)
     dashed = F.when(
-        value.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"),
+        value.rlike(r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"),
         F.try_to_timestamp(value, F.lit("yyyy-M-d")))
-    packed = F.when(value.rlike(r"^[0-9]{8}\z"), F.try_to_timestamp(value, F.lit("yyyyMMdd")))
+    packed = F.when(value.rlike(r"^(?!0000)[0-9]{8}\z"), F.try_to_timestamp(value, F.lit("yyyyMMdd")))
     return F.date_format(F.when(value.contains("-"), dashed).otherwise(packed), "yyyyMMdd")
 
 

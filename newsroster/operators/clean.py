@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.window import Window
 
 from ..functions import urls
+from ..session import cut_lineage
 from .ordering import sort_rows
 from .rules import literal_rules, rule_table
 
@@ -44,6 +46,29 @@ def rename_people(df: DataFrame, rules: DataFrame) -> DataFrame:
         .withColumn("Person", F.coalesce("__new", "Person")).drop("__old", "__new"))
 
 
+def pattern_hit(patterns: list[str]) -> Column:
+    """Whether the link matches any of some regular expressions; false for a null link."""
+    hit = F.lit(False)
+    for at in range(0, len(patterns), PATTERNS_PER_SCAN):
+        joined = "|".join(patterns[at:at + PATTERNS_PER_SCAN])
+        hit = hit | F.coalesce(F.col("Link").rlike(joined), F.lit(False))
+    return hit
+
+
+def domain_hit(domains: list[str]) -> Column:
+    if not domains:
+        return F.lit(False)
+    host = urls.domain(F.col("Link"))
+    return F.coalesce(urls.matches_domain(host, domains), F.lit(False))
+
+
+def word_hit(words: list[str], lower: bool = True) -> Column:
+    if not words:
+        return F.lit(False)
+    link = F.lower("Link") if lower else F.col("Link")
+    return F.coalesce(link.rlike("|".join(re.escape(w) for w in words)), F.lit(False))
+
+
 def remove_by_links(df: DataFrame, patterns, literal: bool = False) -> DataFrame:
     """Drop rows whose link matches any pattern; null links stay, no patterns drop nothing.
 
@@ -54,10 +79,7 @@ def remove_by_links(df: DataFrame, patterns, literal: bool = False) -> DataFrame
     values = literal_rules(patterns, max_rules=20_000, max_bytes=1 << 20)
     if values is None:
         raise ValueError("over 20,000 patterns: apply the list in several calls")
-    for at in range(0, len(values), PATTERNS_PER_SCAN):
-        joined = "|".join(values[at:at + PATTERNS_PER_SCAN])
-        df = df.where(~F.coalesce(F.col("Link").rlike(joined), F.lit(False)))
-    return df
+    return df.where(~pattern_hit(values))
 
 
 def drop_blocked_domains(df: DataFrame, domains, as_table: bool | None = None) -> DataFrame:
@@ -67,11 +89,9 @@ def drop_blocked_domains(df: DataFrame, domains, as_table: bool | None = None) -
     the distinct hosts against the rules, then the mentions against the blocked hosts.
     """
     values = None if as_table else literal_rules(domains)
-    host = urls.domain(F.col("Link"))
     if values is not None:
-        if not values:
-            return df
-        return df.where(~F.coalesce(urls.matches_domain(host, values), F.lit(False)))
+        return df.where(~domain_hit(values))
+    host = urls.domain(F.col("Link"))
     rules = rule_table(df.sparkSession, domains, "__key")
     hosts = df.select(host.alias("__host")).where("__host IS NOT NULL").distinct()
     blocked = (
@@ -90,16 +110,15 @@ def drop_links_with(
     are matched by equality, and the full word is checked on the matches.
     """
     values = None if as_table else literal_rules(words)
-    link = F.lower("Link") if lower else F.col("Link")
     if values is not None:
-        if not values:
-            return df
-        pattern = "|".join(re.escape(v) for v in values)
-        return df.where(~F.coalesce(link.rlike(pattern), F.lit(False)))
+        return df.where(~word_hit(values, lower))
     rules = rule_table(df.sparkSession, words, "__word").withColumn(
         "__piece", F.left("__word", F.lit(ANCHOR)))
     lengths = sorted(
         r[0] for r in rules.select(F.length("__piece")).distinct().collect())  # at most ANCHOR + 1
+    if not lengths:
+        return df
+    link = F.lower("Link") if lower else F.col("Link")
     links = df.select("Link", link.alias("__text")).where("__text IS NOT NULL").distinct()
     starts = F.sequence(F.lit(1), F.greatest(F.length("__text"), F.lit(1)))
 
@@ -143,9 +162,22 @@ def funnel(df: DataFrame, domains, words, patterns) -> DataFrame:
     """Rows left after each cleaning step.
 
     Every step after the first looks at the link alone, so the mentions are reduced to one row
-    per distinct link (combined before the shuffle) and all steps are counted on those.
+    per distinct link (combined before the shuffle). Short rule lists are flags on those rows
+    and all steps are counted in the same pass; with rule tables the distinct links are pinned
+    and counted step by step.
     """
     links = df.groupBy("Link").agg(F.count(F.lit(1)).alias("copies"))
+    lists = [literal_rules(rules) for rules in (patterns, domains, words)]
+    if None not in lists:
+        allowed = ~pattern_hit(lists[0])
+        clean = allowed & F.col("Link").isNotNull() & ~domain_hit(lists[1]) & ~word_hit(lists[2])
+        counts = links.agg(
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("raw"), F.count(F.lit(1)).alias("deduped"),
+            F.count_if(allowed).alias("allowed"), F.count_if(clean).alias("clean"))
+        return counts.select(F.expr(
+            "stack(4, 1, 'raw', raw, 2, 'deduplicated', deduped, 3, 'links_removed', allowed, "
+            "4, 'url_filtered', clean) AS (step_no, step, rows)"))
+    links = cut_lineage(links)
     allowed = remove_by_links(links, patterns)
     steps = [
         ("raw", links, F.sum("copies")), ("deduplicated", links, F.count(F.lit(1))),
@@ -155,7 +187,4 @@ def funnel(df: DataFrame, domains, words, patterns) -> DataFrame:
         rows.agg(F.coalesce(amount, F.lit(0)).cast("long").alias("rows")).select(
             F.lit(number).alias("step_no"), F.lit(name).alias("step"), "rows")
         for number, (name, rows, amount) in enumerate(steps, 1)]
-    merged = counts[0]
-    for one in counts[1:]:
-        merged = merged.unionAll(one)
-    return merged
+    return reduce(DataFrame.unionAll, counts)

@@ -11,12 +11,26 @@ TEXT = "Title text"
 TEXT_LIMIT = 1500
 
 
-def page_facts(pages: DataFrame) -> DataFrame:
+# Most links, and bytes of links, that are sent to every executor to pick pages by.
+MAX_WANTED, MAX_WANTED_BYTES = 1_000_000, 64 << 20
+
+
+def page_facts(pages: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """One row per URL, first fetched wins: article, page_text and page_date instead of html.
 
     The html is reduced inside the scan stage; only short columns reach the shuffle. Texts are
-    built from the whole page and then cut to the length mentions store.
+    built from the whole page and then cut to the length mentions store. ``wanted`` (one column
+    of links, cheap to recompute) spares the work on pages nobody mentions: it is measured, and
+    if it is small enough to broadcast the scan drops other pages before their html is touched.
+    Otherwise all pages are reduced, which still beats moving their html to a join.
     """
+    if wanted is not None:
+        link = wanted.columns[0]
+        count, size = wanted.agg(
+            F.count(link), F.coalesce(F.sum(F.octet_length(link)), F.lit(0))).first()
+        if count <= MAX_WANTED and size <= MAX_WANTED_BYTES:
+            pages = pages.join(
+                F.broadcast(wanted), F.col("url") == F.col(link), "left_semi")
     facts = pages.withColumn("__visible", html.visible(F.col("html"))).select(
         "page_id", "url",
         F.left(html.article_of(F.col("__visible")), F.lit(TEXT_LIMIT)).alias("article"),
@@ -39,17 +53,22 @@ def cut_date(df: DataFrame) -> DataFrame:
         "Date", F.when(linked, F.left("Date", F.lit(10))).otherwise(F.col("Date")))
 
 
-def fill_blanks(mentions: DataFrame, facts: DataFrame) -> DataFrame:
-    """Fill ``Date`` and ``Title text`` from ``page_facts`` by link.
+def fill_blanks(mentions: DataFrame, facts: DataFrame, all_linked: bool = False) -> DataFrame:
+    """Fill ``Date`` and ``Title text`` from ``page_facts`` by link; column order is kept.
 
-    Rows without a link are left as they are; they are kept away from the join by a null key,
-    which the shuffle spreads. Column order is kept.
+    Rows without a link stay as they are. They get a key of their own each, so that many of them
+    do not meet in one task. ``all_linked`` promises there are none: then the join key is the
+    link itself and a partitioning by link is used again.
     """
     if TEXT not in mentions.columns:
         mentions = mentions.withColumn(TEXT, F.lit(None).cast("string"))
     columns = mentions.columns
-    joined = mentions.join(
-        facts.where("url <> ''"), F.col("Link") == F.col("url"), "left")
+    key = F.col("Link")
+    if not all_linked:
+        own = F.concat(F.lit("no link "), F.xxhash64("ord"))
+        key = F.coalesce(F.nullif(key, F.lit("")), own)
+    joined = mentions.withColumn("__key", key).join(
+        facts.where("url <> ''"), F.col("__key") == F.col("url"), "left")
     filled = (
         joined
         .withColumn("Date", F.coalesce("Date", "page_date"))

@@ -57,14 +57,11 @@ def sort_parameter(by_date: Column, start: Column, end: Column, today: date) ->
 def in_date_range(df: DataFrame, column: str, start: str | None, end: str | None,
                   today: date) -> DataFrame:
     """Rows whose date text falls into the inclusive window; no bounds keep everything."""
-    spark = df.sparkSession
-    first, last = spark.range(1).select(
-        compact_date(F.lit(start)), compact_date(F.lit(end))).first()
-    if not first and not last:
-        return df
-    first, last = first or EARLIEST, last or today.strftime("%Y%m%d")
+    first, last = compact_date(F.lit(start)), compact_date(F.lit(end))  # folded to constants
     day = F.replace(iso_day(F.col(f"`{column}`")), F.lit("-"), F.lit(""))
-    return df.where(day.between(first, last))
+    inside = day.between(
+        F.coalesce(first, F.lit(EARLIEST)), F.coalesce(last, F.lit(today.strftime("%Y%m%d"))))
+    return df.where((first.isNull() & last.isNull()) | inside)
 
 
 def plan_pages(queries: DataFrame, max_results: Column | int = MAX_RESULTS) -> DataFrame:

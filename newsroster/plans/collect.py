@@ -16,7 +16,12 @@ class Collected:
     queries: DataFrame
     completed: DataFrame
     failures: DataFrame
-    raw: DataFrame
+
+    @property
+    def raw(self) -> DataFrame:
+        """Raw export rows of everything completed so far, queries no longer asked included."""
+        places = self.queries.select("query", F.struct("ord", "pos").alias("query_ord"))
+        return raw_rows(self.completed.join(places, "query", "left"))
 
     @property
     def status(self) -> DataFrame:
@@ -83,9 +88,7 @@ def collect(
     # Pending and completed queries are disjoint, so the upsert is a union.
     completed = completed.select("query", "items").unionByName(done)
     failures = counted.where(~finished & (F.col("n") > 0)).select("query", "n")
-    ordered = completed.join(
-        queries.select("query", F.struct("ord", "pos").alias("query_ord")), "query", "left")
-    return Collected(queries, completed, failures, raw_rows(ordered))
+    return Collected(queries, completed, failures)
 
 
 def raw_rows(completed: DataFrame) -> DataFrame:

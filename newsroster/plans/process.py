@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import clean, enrich, relevance
+from ..session import cut_lineage
 from ..sources import rules as rule_lists
 
 
@@ -44,8 +45,15 @@ def scored(
     mentions: DataFrame, rules: Rules, pages: DataFrame, replies: DataFrame | None = None,
     scorer: relevance.Scorer | None = None,
 ) -> DataFrame:
-    """Cleaned mentions with texts and dates from ``pages`` and a relevance score."""
-    filled = enrich.fill_blanks(cleaned(mentions, rules), enrich.page_facts(pages))
+    """Cleaned mentions with texts and dates from ``pages`` and a relevance score.
+
+    The cleaned rows are pinned on shared storage: they are read twice, to pick the pages worth
+    parsing and to be filled, and the costly page stage need not repeat the cleaning if an
+    executor is lost.
+    """
+    rows = cut_lineage(cleaned(mentions, rules))
+    facts = enrich.page_facts(pages, rows.select("Link"))
+    filled = enrich.fill_blanks(rows, facts, all_linked=True)
     if scorer is not None:
         return relevance.score_with(filled, scorer)
     return relevance.relevance_scores(filled, replies, "Link")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.state import is_complete
+from ..session import cut_lineage
 from ..sinks import dashboard, files
 from ..sinks.state_store import StateStore
+from ..sources.files import read_mentions
 from .collect import Collected
 from .process import without_order
 
@@ -21,23 +24,24 @@ def dashboard_links(spark: SparkSession, raw: str, ranked: str) -> DataFrame:
 
 
 def publish(
-    run: Collected, ranked: DataFrame | None, store: StateStore, root: str, at: datetime,
-    board: DataFrame | None = None,
+    run: Collected, rank: Callable[[DataFrame], DataFrame], store: StateStore, root: str,
+    at: datetime, board: DataFrame | None = None,
 ) -> dict:
-    """Save the state and the raw rows; if the run is complete also the ranked table.
+    """Save the state and the raw rows; if nothing is pending also the ranked table.
 
+    ``rank`` makes the ranked table of the raw mentions, which are read back from their export.
     Returns the written paths, whether the run was complete and the new dashboard table.
     """
-    spark = store.spark
+    spark, root = store.spark, root.rstrip("/")
     store.save(run.completed, run.failures)
-    completed, _ = store.load()  # later jobs read the saved state, not the whole lineage
+    saved = Collected(run.queries, *store.load())  # from here on the saved state is read
     raw = files.write_snapshot(
-        without_order(run.raw.orderBy("ord")), root, "search_results.csv", at)
-    out = {"raw": raw, "ranked": None, "board": board, "complete": False}
-    if not is_complete(run.queries, completed) or ranked is None:
-        return out
-    path = files.write_snapshot(without_order(ranked), root, "links_sorted.csv", at)
-    files.append_results(without_order(ranked), f"{root.rstrip('/')}/results")
+        without_order(saved.raw.orderBy("ord")), root, "search_results.csv", at)
+    if not is_complete(saved.queries, saved.completed):
+        return {"raw": raw, "ranked": None, "board": board, "complete": False}
+    ranked = without_order(cut_lineage(rank(read_mentions(spark, raw))))
+    path = files.write_snapshot(ranked, root, "links_sorted.csv", at)
+    files.append_results(ranked, f"{root}/results")
     board = board if board is not None else spark.createDataFrame([], BOARD)
     board = dashboard.upsert(board, dashboard_links(spark, raw, path))
     store.clear()
