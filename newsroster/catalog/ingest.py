@@ -60,7 +60,7 @@ def query_results(spark, folder):
     """The mapping form: capped item lists per query, as their links."""
     capped = I.cap_per_query(flat_items(Landed(spark, folder)), 100)
     return I.items_by_query(capped).select(
-        "query", F.transform("items", lambda item: item["link"]).alias("links"))
+        "query", F.array_join(F.transform("items", lambda item: item["link"]), " ").alias("links"))
 
 
 def links_only(spark, folder):
@@ -147,7 +147,7 @@ ORACLE = {
                coalesce(i.host, '') AS Source, coalesce(i.link, '') AS Link
         FROM customer c LEFT JOIN {items} i ON i.query = c.c_name"""),
     "query_results": oracle("""
-        SELECT query, list(link ORDER BY page, pos) AS links
+        SELECT query, string_agg(link, ' ' ORDER BY page, pos) AS links
         FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY page, pos) AS place
               FROM {items}) WHERE place <= 100 GROUP BY query"""),
     "links_only": oracle("SELECT query, query_ord, page, pos, link FROM {items} WHERE link IS NOT NULL"),

@@ -24,8 +24,8 @@ def names(landed):
 
 
 def _links(completed):
-    return completed.select(
-        "query", F.transform("items", lambda item: item["link"]).alias("links"))
+    return completed.select("query", F.array_join(
+        F.transform("items", lambda item: item["link"]), " ").alias("links"))
 
 
 def state_mark_done(spark, folder):
@@ -42,7 +42,7 @@ def state_mark_done(spark, folder):
     return _links(completed).select("query", F.lit("completed").alias("part"), "links",
                                     F.lit(None).cast("int").alias("n")).unionByName(
         failures.select("query", F.lit("failures").alias("part"),
-                        F.lit(None).cast("array<string>").alias("links"), "n"))
+                        F.lit(None).cast("string").alias("links"), "n"))
 
 
 def state_failures(spark, folder):
@@ -97,9 +97,9 @@ _COUNTS = """
 
 ORACLE = {
     "state_mark_done": oracle("""
-        SELECT query, 'completed' AS part, list_sort(list(DISTINCT link)) AS links,
+        SELECT query, 'completed' AS part, array_to_string(list_sort(list(DISTINCT link)), ' ') AS links,
                CAST(NULL AS INT) AS n FROM {items} GROUP BY query
-        UNION ALL SELECT query, 'completed', [link], NULL FROM {stored}
+        UNION ALL SELECT query, 'completed', link, NULL FROM {stored}
         WHERE query NOT IN (SELECT query FROM {items})
         UNION ALL SELECT query, 'failures', NULL, n FROM {failure_counts}
         WHERE query NOT IN (SELECT query FROM {items})"""),
@@ -110,7 +110,7 @@ ORACLE = {
     "pending_queries": oracle("""
         SELECT c_name AS query FROM customer WHERE c_name NOT IN (SELECT query FROM {stored})"""),
     "state_results": oracle("""
-        SELECT c_name AS query, CASE WHEN s.link IS NULL THEN [] ELSE [s.link] END AS links
+        SELECT c_name AS query, coalesce(s.link, '') AS links
         FROM customer LEFT JOIN {stored} s ON s.query = c_name"""),
     "run_status": oracle("""
         SELECT count(s.query) AS done, count(*) - count(s.query) AS pending,
@@ -118,6 +118,6 @@ ORACLE = {
         FROM customer LEFT JOIN {stored} s ON s.query = c_name"""),
     "state_store": oracle("""
         SELECT 3 AS version, coalesce(s.query, f.query) AS query,
-               CASE WHEN s.link IS NOT NULL THEN [s.link] END AS links, f.n
+               s.link AS links, f.n
         FROM {stored} s FULL JOIN {failure_counts} f ON f.query = s.query"""),
 }

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MAX_RULES = 1000
 MAX_BYTES = 256 * 1024
-
-Rules = "list[str] | DataFrame"
+MAX_LENGTH = 1024  # characters of one rule that travel with the measurement
 
 
 def literal_rules(
@@ -15,7 +14,8 @@ def literal_rules(
 ) -> list[str] | None:
     """The distinct rules if they are few and short, else None.
 
-    A table's first column is counted and measured before anything is fetched.
+    A table's first column is counted and measured in the job that fetches it, which returns
+    ``max_rules + 1`` cut texts at most.
     """
     if not isinstance(rules, DataFrame):
         values = sorted(set(rules))
@@ -23,11 +23,15 @@ def literal_rules(
         return values if fits else None
     values = rules.select(F.col(f"`{rules.columns[0]}`").alias("rule")).where("rule IS NOT NULL")
     probe = values.distinct().limit(max_rules + 1)
-    count, size = probe.agg(
-        F.count("*"), F.coalesce(F.sum(F.octet_length("rule")), F.lit(0))).first()
+    count, size, longest, found = probe.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("rule")), F.lit(0)),
+        F.coalesce(F.max(F.length("rule")), F.lit(0)),
+        F.collect_list(F.left("rule", F.lit(MAX_LENGTH)))).first()
     if count > max_rules or size > max_bytes:
         return None
-    return sorted(r[0] for r in probe.collect())
+    if longest > MAX_LENGTH:  # measured by now, and small in total
+        found = [r[0] for r in probe.collect()]
+    return sorted(found)
 
 
 def rule_table(spark: SparkSession, rules, name: str) -> DataFrame:
