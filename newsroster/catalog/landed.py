@@ -90,7 +90,7 @@ VIEWS = {
                     ELSE 'list' END AS body_kind
         FROM {events} e JOIN {customer} c ON c.c_custkey = e.user_id""",
     "attempt_items": """
-        SELECT e.event_id, s.pos, l.title,
+        SELECT e.event_id, e.user_id, CAST((day(e.ts) - 1) % 10 + 1 AS INT) AS page, s.pos, l.title,
                CASE WHEN s.shift = 1 AND e.value < 2 THEN '' ELSE l.url END AS link, l.host,
                CASE WHEN s.shift = 1 THEN NULL
                     ELSE substring(CAST(e.ts AS VARCHAR(40)), 1, 19) END AS published
@@ -100,9 +100,9 @@ VIEWS = {
         JOIN {links} l ON l.page_id = CASE WHEN s.shift = 1 THEN e.other ELSE e.hit END""",
     # Items per query and page, flat.
     "items": """
-        SELECT a.query, a.query_ord, a.page, i.event_id * 3 + i.pos AS pos, i.title, i.link, i.host,
-               i.published
-        FROM {attempts} a JOIN {attempt_items} i ON i.event_id = a.event_id""",
+        SELECT c.c_name AS query, c.c_custkey AS query_ord, i.page, i.event_id * 3 + i.pos AS pos,
+               i.title, i.link, i.host, i.published
+        FROM {attempt_items} i JOIN {customer} c ON c.c_custkey = i.user_id""",
     "stored": """
         SELECT c_name AS query, c_custkey AS query_ord, c_mktsegment AS title,
                'https://stored.example.org/' || c_name AS link
@@ -218,12 +218,19 @@ class Landed:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE:
-            return read_table(self.spark, f"{self.folder}/{name}.parquet", WIDE.get(name))
+            return self._base(name, WIDE.get(name))
         if name not in VIEWS:
             raise AttributeError(name)
-        refs = {ref: getattr(self, ref) for ref in set(_REF.findall(VIEWS[name]))}
+        # These two read no long text, or cut it down at once.
+        light = name in ("links", "hits")
+        refs = {
+            ref: self._base(ref, None) if light and ref in BASE else getattr(self, ref)
+            for ref in set(_REF.findall(VIEWS[name]))}
         return self.spark.sql(VIEWS[name], **refs)
 
+    def _base(self, name: str, spread_by: str | None) -> DataFrame:
+        return read_table(self.spark, f"{self.folder}/{name}.parquet", spread_by)
+
     def landed(self) -> DataFrame:
         """Attempts with their response bodies, in the dialect of their provider."""
         lists = self.attempt_items.groupBy("event_id").agg(F.sort_array(F.collect_list(
