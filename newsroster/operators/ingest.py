@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from ..sources.payloads import is_meta
 from ..schema import RAW_COLUMNS
 from .clean import first_per_key
-from .planning import MAX_RESULTS, META_PAGES
+from .planning import MAX_RESULTS, META_PAGES, PAGE_SIZE
 
 # Words that make a refused call (403) a quota matter.
 QUOTA_WORDS = ["quota", "ratelimitexceeded", "dailylimitexceeded", "userratelimitexceeded"]
@@ -71,20 +71,23 @@ def stop_reason(pages: DataFrame) -> DataFrame:
         .withColumn("n_items", F.when(F.col("items").isNull(), 0).otherwise(counted)))
 
 
-def partial_results(pages: DataFrame) -> DataFrame:
+def partial_results(pages: DataFrame, max_results: int = MAX_RESULTS) -> DataFrame:
     """Pages up to the first stop of their query, with ``usable`` and the query's ``status``.
 
-    Input: one row per (query, page) with ``n_items`` and ``stop``. Status is ``done``,
+    Input: one row per (query, page) with ``n_items``, ``stop`` and ``provider``. Status is ``done``,
     ``failed`` (stopped by a failure before anything was found) or ``quota`` (what the query
     found in this run is discarded). The stopping page itself stays, not usable.
-    Only ten pages per query are ever read, so a window over a query holds ten rows at most.
+    Only pages the plan asks for count: ten in the meta dialect, otherwise as many as
+    ``max_results`` takes. So a window over a query holds ten rows at most.
     """
+    last = F.when(is_meta(F.col("provider")), META_PAGES).otherwise(
+        -(-min(max_results, MAX_RESULTS) // PAGE_SIZE))
     run = Window.partitionBy("query").orderBy("page")
     before = run.rowsBetween(Window.unboundedPreceding, -1)
     ends = F.when(F.col("stop") == "quota", F.lit("quota")).when(
         (F.col("stop") == "failure") & (F.col("found") == 0), F.lit("failed"))
     return (
-        pages.where(F.col("page").between(1, META_PAGES))
+        pages.where(F.col("page").between(1, META_PAGES) & (F.col("page") <= last))
         .withColumn("found", F.coalesce(F.sum("n_items").over(before), F.lit(0)))
         .withColumn("stops", F.count("stop").over(before)).where("stops = 0")
         .withColumn("status", F.coalesce(

@@ -23,16 +23,24 @@ class Collected:
         places = self.queries.select("query", F.struct("ord", "pos").alias("query_ord"))
         return raw_rows(self.completed.join(places, "query", "left"))
 
+    @property
+    def first_query_items(self) -> DataFrame:
+        """Items of the first query of the roster, one per row; none while it is pending."""
+        places = self.queries.select("query", F.struct("ord", "pos").alias("query_ord"))
+        first = places.agg(F.min("query_ord").alias("query_ord")).join(places, "query_ord")
+        return self.completed.join(first.select("query"), "query", "left_semi").select(
+            "query", F.posexplode("items").alias("pos", "item"))
+
     @property
     def status(self) -> DataFrame:
         return state.run_status(self.queries, self.completed)
 
 
-def query_pages(landed: DataFrame) -> DataFrame:
+def query_pages(landed: DataFrame, max_results: int = planning.MAX_RESULTS) -> DataFrame:
     """Landed attempts to the pages of each query up to its first stop."""
     attempts = ingest.classify_attempts(with_items(landed))
     pages = ingest.page_outcome(attempts, carry=["provider", "items"])
-    return ingest.partial_results(ingest.stop_reason(pages))
+    return ingest.partial_results(ingest.stop_reason(pages), max_results)
 
 
 def query_outcomes(pages: DataFrame, max_results: int) -> DataFrame:
@@ -58,9 +66,9 @@ def query_outcomes(pages: DataFrame, max_results: int) -> DataFrame:
     hits = F.flatten(F.transform("lists", lambda p: p["items"]))
     return (
         grouped.select("query", "status", "meta", hits.alias("hits"))
-        .select("query", "status", F.slice(
-            F.when(F.col("meta"), unique(F.col("hits"))).otherwise(F.col("hits")),
-            F.lit(1), F.lit(max_results)).alias("items")))
+        .select("query", "status", F.when(
+            F.col("meta"), F.slice(unique(F.col("hits")), F.lit(1), F.lit(max_results))).otherwise(
+            F.slice("hits", F.lit(1), F.lit(min(max_results, planning.MAX_RESULTS)))).alias("items")))
 
 
 def collect(
@@ -75,7 +83,8 @@ def collect(
     """
     queries = planning.expand_roster(roster, optional, spellings)
     pending = state.pending_queries(queries, completed)
-    pages = query_pages(landed.join(pending.select("query"), "query", "left_semi"))
+    asked = landed.join(pending.select("query"), "query", "left_semi")
+    pages = query_pages(asked, max_results)
     run = query_outcomes(pages, max_results).join(
         failures.withColumnRenamed("n", "before"), "query", "full")
     failed = F.coalesce(F.col("status") == "failed", F.lit(False))

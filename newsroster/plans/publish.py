@@ -27,7 +27,8 @@ def publish(
     run: Collected, rank: Callable[[DataFrame], DataFrame], store: StateStore, root: str,
     at: datetime, board: DataFrame | None = None,
 ) -> dict:
-    """Save the state and the raw rows; if nothing is pending also the ranked table.
+    """Save the state, the raw rows and the first query's links; if nothing is pending also the
+    ranked table.
 
     ``rank`` makes the ranked table of the raw mentions, which are read back from their export.
     Returns the written paths, whether the run was complete and the new dashboard table.
@@ -37,12 +38,15 @@ def publish(
     saved = Collected(run.queries, *store.load())  # from here on the saved state is read
     raw = files.write_snapshot(
         without_order(saved.raw.orderBy("ord")), root, "search_results.csv", at)
+    links = f"{root}/{files.snapshot_name('links.txt', at)}"
+    files.write_links(saved.first_query_items, links)
+    out = {"raw": raw, "links": links, "ranked": None, "board": board, "complete": False}
     if not is_complete(saved.queries, saved.completed):
-        return {"raw": raw, "ranked": None, "board": board, "complete": False}
+        return out
     ranked = without_order(cut_lineage(rank(read_mentions(spark, raw))))
     path = files.write_snapshot(ranked, root, "links_sorted.csv", at)
     files.append_results(ranked, f"{root}/results")
     board = board if board is not None else spark.createDataFrame([], BOARD)
     board = dashboard.upsert(board, dashboard_links(spark, raw, path))
     store.clear()
-    return {"raw": raw, "ranked": path, "board": board, "complete": True}
+    return out | {"ranked": path, "board": board, "complete": True}

@@ -100,7 +100,7 @@ def landed(spark, *rows):
 
 
 def outcomes(spark, *rows, cap=100):
-    out = query_outcomes(query_pages(landed(spark, *rows)), cap).collect()
+    out = query_outcomes(query_pages(landed(spark, *rows), cap), cap).collect()
     return {r["query"]: (r["status"], [i["link"] for i in r["items"]]) for r in out}
 
 
@@ -142,11 +142,20 @@ def test_unique_links(spark):
     assert sorted((r["query"], r["link"]) for r in rows) == [("p", "a"), ("q", "a"), ("q", "b")]
 
 
+def test_only_planned_pages_count(spark):
+    pages = [attempt("q", p, {"items": [hit(f"{p}-{n}") for n in range(9)]}) for p in (1, 2, 3, 4)]
+    people = roster(spark, ("", "q", "", ""))
+    run = collect(people, landed(spark, *pages), *tables(spark), max_results=25)
+    # Three pages are asked for; a short page is not made up for by a fourth.
+    found = [i["link"] for i in run.completed.first()["items"]]
+    assert found == [f"{p}-{n}" for p in (1, 2, 3) for n in range(9)][:25]
+
+
 def tables(spark):
     return spark.createDataFrame([], COMPLETED), spark.createDataFrame([], FAILURES)
 
 
-NAMES = ["Oleh N", "Maria B", "Pavlo M", "Roman N"]
+NAMES = ["Ada L", "Bo M", "Cy N", "Di O"]
 
 
 def test_resume_after_quota(spark):
@@ -180,23 +189,23 @@ def test_give_up_on_third_failure(spark):
 
 
 def test_state_operators(spark):
-    item = spark.createDataFrame([("Maria", [{"link": "x"}])], COMPLETED)
-    failures = spark.createDataFrame([("Maria", 2), ("Pavlo", 1)], FAILURES)
+    item = spark.createDataFrame([("Bo", [{"link": "x"}])], COMPLETED)
+    failures = spark.createDataFrame([("Bo", 2), ("Cy", 1)], FAILURES)
     completed, left = state.mark_done(tables(spark)[0], failures, item)
     assert completed.first()["items"][0]["link"] == "x"
-    assert [tuple(r) for r in left.collect()] == [("Pavlo", 1)]
+    assert [tuple(r) for r in left.collect()] == [("Cy", 1)]
     again = state.record_failures(state.record_failures(left, left.select("query")), left.select("query"))
-    assert [tuple(r) for r in state.give_up(again).collect()] == [("Pavlo", 3, "give_up")]
-    queries = spark.createDataFrame([("Maria",), ("Pavlo",)], "query string")
-    assert [r["query"] for r in state.pending_queries(queries, completed).collect()] == ["Pavlo"]
+    assert [tuple(r) for r in state.give_up(again).collect()] == [("Cy", 3, "give_up")]
+    queries = spark.createDataFrame([("Bo",), ("Cy",)], "query string")
+    assert [r["query"] for r in state.pending_queries(queries, completed).collect()] == ["Cy"]
     stored = {r["query"]: len(r["items"]) for r in state.stored_results(queries, completed).collect()}
-    assert stored == {"Maria": 1, "Pavlo": 0}
+    assert stored == {"Bo": 1, "Cy": 0}
 
 
 def test_state_store(spark, tmp_path):
     store = StateStore(spark, str(tmp_path / "state"))
     assert [t.count() for t in store.load()] == [0, 0]
-    item = spark.createDataFrame([("Maria", [{"link": "x"}]), ("Empty", [])], COMPLETED)
+    item = spark.createDataFrame([("Bo", [{"link": "x"}]), ("Empty", [])], COMPLETED)
     failures = spark.createDataFrame([("q", 2)], FAILURES)
     store.save(item, failures)
     fresh = StateStore(spark, str(tmp_path / "state"))
@@ -272,6 +281,7 @@ def test_publish(spark, tmp_path):
     part = publish(collect(people, landed(spark, *good[:2]), *store.load()), rank, store, str(tmp_path), at)
     assert part["complete"] is False and part["ranked"] is None
     assert part["raw"].endswith("/2024-05-01_09-30_search_results.csv")
+    assert [r[0] for r in spark.read.text(part["links"]).collect()] == [f"http://x.org/{NAMES[0]}"]
     full = publish(collect(people, landed(spark, *good), *store.load()), rank, store, str(tmp_path), at)
     assert full["complete"] and store.load()[0].count() == 0
     assert read_mentions(spark, full["raw"]).count() == 4
