@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.window import Window
 
 from ..functions import urls
+from ..functions.text import any_of
 from ..session import cut_lineage
 from .ordering import sort_rows
 from .rules import literal_rules, rule_table
@@ -66,7 +66,7 @@ def word_hit(words: list[str], lower: bool = True) -> Column:
     if not words:
         return F.lit(False)
     link = F.lower("Link") if lower else F.col("Link")
-    return F.coalesce(link.rlike("|".join(re.escape(w) for w in words)), F.lit(False))
+    return F.coalesce(link.rlike(any_of(words)), F.lit(False))
 
 
 def remove_by_links(df: DataFrame, patterns, literal: bool = False) -> DataFrame:

@@ -93,6 +93,15 @@ def test_domain_rules_both_ways(spark, hosts, rules):
     assert [bool(set(keys) & set(rules)) for keys in keyed] == expected
 
 
+@BATCH
+@given(st.lists(st.text(alphabet="ab.|", max_size=6), min_size=1, max_size=40),
+       st.lists(st.text(alphabet="ab.|", max_size=9), min_size=50, max_size=50))
+def test_any_of(spark, words, values):
+    words = sorted(set(words))
+    found = column(spark, values, lambda c: c.rlike("^" + text.any_of(words) + r"\z"))
+    assert found == [v in words for v in values]
+
+
 def test_fill_template_keeps_braces(spark):
     made = column(spark, ["x"], lambda c: text.fill_template("{{a}} {v}!", v=c))
     assert made == ["{a} x!"]
