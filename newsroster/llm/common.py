@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import scratch_path
+
 # The blanks between words, as text and as a pattern.
 BLANKS = " \t\n\x0b\x0c\r"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -40,3 +42,11 @@ def sampled_ids(rows: DataFrame, name: str, most: int, salt: str) -> DataFrame:
     """At most ``most`` distinct non-null ids, chosen by hash: the same ones in every run."""
     ids = rows.select(F.col(f"`{name}`").alias("id")).where(F.col("id").isNotNull()).distinct()
     return ids.orderBy(F.xxhash64(F.lit(salt), "id"), "id").limit(most)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: lineage ends here, lost executors do
+    no harm, and the planner knows the true size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
