@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, secrets
+from ..session import scratch_path
+from . import chat, secrets, warc
 from .common import table
 from .exact_dedup import exact_duplicates
 from .mixing import mix
@@ -34,6 +35,12 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.digest(warc.read_warc(spark, path))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("copies")
 
@@ -43,6 +50,7 @@ QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_secret_scans": op6_secret_scans,
+    "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
 }
 
@@ -78,6 +86,16 @@ SELECT conv_id, count(*) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) END AS first FROM p)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
 OP8_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -129,5 +147,6 @@ SELECT doc_id, size, source_size, target, 0 FROM q WHERE size = 0
 ORACLE = {
     "op3_chat_formatting": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
+    "op7_warc": OP7_SQL,
     "op8_mixing": OP8_SQL,
 }
