@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import chat, secrets, warc
+from . import chat, sampled_pieces, secrets, token_counts, warc
 from .common import table
 from .exact_dedup import exact_duplicates
 from .mixing import mix
@@ -31,6 +31,17 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), largest=True).drop("n_rows")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every whole text as a count and a digest, and whether decoding gives it back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = sampled_pieces.with_pieces(docs).withColumn(
+        "decoded", sampled_pieces.decode(spark, F.col("pieces")))
+    return rows.select(
+        "doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -45,13 +56,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.with_token_counts(docs).drop("text")
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_secret_scans": op6_secret_scans,
     "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
+    "op10_token_counts": op10_token_counts,
 }
 
 OP4_SQL = """
