@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import chat, sampled_pieces, secrets, token_counts, warc
+from . import chat, language, sampled_pieces, secrets, token_counts, warc
 from .common import table
 from .exact_dedup import exact_duplicates
 from .mixing import mix
 from .quality import judge
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(
+        F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)))
+    model = language.train(docs.where("not held_out"))
+    return language.with_language(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "language.*")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1")
     return judge(table(spark, sf_dir, "documents"), trusted)
@@ -62,6 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_exact_dedup": op4_exact_dedup,
