@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .pieces import TokenNumbers, Vocabulary, new_depth, slices
 
-MOST_NODES = 1_500_000  # lattice nodes that a worker remembers between batches
+MOST_NODES = 700_000  # lattice nodes that a worker remembers between batches
 LONG = 64  # longer pre-tokens share no prefixes, so that their scores can be rescaled
 TINY, SCALE = 1e-200, 1e200
 
@@ -44,7 +45,8 @@ class Lattices:
     def add(self, tokens: list[str]) -> list[int]:
         """Nodes of tokens; a prefix shared with the token before is reused, so sort them."""
         known = self.known
-        totals, widths, below, codes, origins, ends = [], [], [], [], [], []
+        totals, below, widths = array("d"), array("d"), array("i")
+        codes, origins, ends = array("i"), array("i"), []
         node = len(self.last)
         forward, path, previous = [1.0], [0], ""
         for token in tokens:
@@ -177,8 +179,8 @@ def encode(spark: SparkSession, key: Column, text: Column, temper: float = 1.0,
     ``key`` (a long; null counts as 0), the place of the pre-token and nothing else: the same row
     gives the same pieces in any partitioning and on any retry.
 
-    Tasks work on slices of 4 million characters, or one longer text; a worker keeps at most
-    1.5 million lattice nodes between slices. No shuffle.
+    Tasks work on slices of 2 million characters, or one longer text; a worker keeps at most
+    700,000 lattice nodes between slices. No shuffle.
     """
     shared, run = spark.sparkContext.broadcast(Vocabulary.load(model_path)), uuid.uuid4().hex
 
