@@ -8,6 +8,7 @@ from ..session import scratch_path
 from . import chat, language, sampled_pieces, secrets, token_counts, warc
 from .common import table
 from .exact_dedup import exact_duplicates
+from .jaccard_join import near_duplicates
 from .mixing import mix
 from .quality import judge
 
@@ -64,6 +65,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.with_token_counts(docs).drop("text")
@@ -78,6 +83,7 @@ QUERIES = {
     "op6_secret_scans": op6_secret_scans,
     "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -171,9 +177,31 @@ UNION ALL
 SELECT doc_id, size, source_size, target, 0 FROM q WHERE size = 0
 """
 
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ')
+         ELSE array_to_string(w[i:i + 3], ' ') END AS s
+  FROM w, unnest(range(1, greatest(len(w) - 2, 2))) AS r(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (
+  SELECT a, b FROM l JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * k >= 85 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) m USING (doc_id)
+"""
+
 ORACLE = {
     "op3_chat_formatting": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op7_warc": OP7_SQL,
     "op8_mixing": OP8_SQL,
+    "op9_jaccard_join": OP9_SQL,
 }

@@ -118,3 +118,13 @@ def mix(
     return one.unionByName(two).select(
         "doc_id", "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows that the mix takes, each as often as it does, with all columns of ``docs``. Rows
+    that repeat an id are taken as often as the one of them that is taken most."""
+    copies = mix(docs, id=id, text=text, **options).groupBy(F.col("doc_id").alias("__of")).agg(
+        F.max("copies").alias("__copies")).where("__copies > 0")
+    taken = docs.join(copies, F.col(f"`{id}`").eqNullSafe(F.col("__of")))
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
