@@ -85,7 +85,8 @@ class Scorer:
     def __init__(self, model: LanguageModel):
         self.model, self.table = model, model.states()
         self.n_classes = model.bits.shape[1]
-        self.bits = model.bits.reshape(-1, len(model.languages))
+        self.bits = model.bits.reshape(model.bits.shape[0] * self.n_classes, -1) \
+            if model.languages else None
 
     def __call__(self, texts: list[bytes], most: int = 1_000_000) -> np.ndarray:
         """Bits of each text (row) in each language; long texts go through in pieces."""

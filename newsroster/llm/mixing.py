@@ -86,15 +86,15 @@ def mix(
             F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
         .withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
         .withColumnRenamed("source", "of"))
-    p = F.least(F.lit(1.0), F.col("missing") / F.col("source_size") * F.col("odds")
-                * F.col("n_sized") / F.col("odds_base"))
+    drawn = (F.col("size") > 0) & (F.col("missing") > 0)
+    p = F.when(drawn, F.least(F.lit(1.0), F.col("missing") / F.col("source_size") * F.col("odds")
+                              * F.col("n_sized") / F.col("odds_base")))
     ranked = (
         sized.join(sources, F.col("source").eqNullSafe(F.col("of")))
         .withColumn("p", p).withColumn("u", u)
-        .withColumn("q", F.when(F.col("p") >= 1, 0.0).otherwise(
-            F.col("u") / (1 - F.col("u")) * ((1 - F.col("p")) / F.col("p"))))
-        .withColumn("place", F.when((F.col("size") > 0) & (F.col("missing") > 0),
-                                    F.col("q") / (1 + F.col("q"))))
+        .withColumn("q", F.when(F.col("p") >= 1, 0.0).when(
+            F.col("p") > 0, F.col("u") / (1 - F.col("u")) * ((1 - F.col("p")) / F.col("p"))))
+        .withColumn("place", F.col("q") / (1 + F.col("q")))
         .withColumn("bin", F.least(F.floor(F.col("place") * BINS), F.lit(BINS - 1))))
     bins = ranked.where("bin is not null").groupBy("of", "bin").agg(
         F.sum("size").alias("n"), F.first("missing").alias("missing"))
