@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .pieces import slices
+from .workers import worker_state
 
 ORDER = 3  # bytes of context at most
 PAD = b"\n" * ORDER  # context before the first byte
@@ -73,7 +74,7 @@ class LanguageModel:
 
     def states(self) -> np.ndarray:
         """The state after any three bytes: that of the longest known context."""
-        table = np.zeros((256, 256, 256), np.int32)
+        table = np.zeros((256, 256, 256), np.min_scalar_type(len(self.contexts)))
         for state, context in enumerate(self.contexts, 1):  # short ones first
             table[(Ellipsis, *context)] = state
         return table.reshape(-1)
@@ -88,7 +89,7 @@ class Scorer:
         self.bits = model.bits.reshape(model.bits.shape[0] * self.n_classes, -1) \
             if model.languages else None
 
-    def __call__(self, texts: list[bytes], most: int = 1_000_000) -> np.ndarray:
+    def __call__(self, texts: list[bytes], most: int = 250_000) -> np.ndarray:
         """Bits of each text (row) in each language; long texts go through in pieces."""
         totals = np.zeros((len(texts), len(self.model.languages)))
         for begin, end in slices([len(t) for t in texts], most):
@@ -161,9 +162,6 @@ def train(
     return LanguageModel.from_counts(found, most_contexts)
 
 
-_workers: dict[str, Scorer] = {}
-
-
 def identify(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
     """A struct ``lang_pred, score, bits_per_byte`` for each text.
 
@@ -177,10 +175,7 @@ def identify(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
 
     @F.arrow_udf("struct<lang_pred:string,score:double,bits_per_byte:double>")
     def identified(texts: pa.Array) -> pa.Array:
-        if run not in _workers:
-            _workers.clear()
-            _workers[run] = Scorer(shared.value)
-        scorer = _workers[run]
+        scorer = worker_state(run, lambda: Scorer(shared.value))
         languages = scorer.model.languages
         names, scores, rates = [], [], []
         for begin, end in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):

@@ -12,8 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .pieces import TokenNumbers, Vocabulary, new_depth, slices
+from .workers import worker_state
 
-MOST_NODES = 700_000  # lattice nodes that a worker remembers between batches
+MOST_NODES = 300_000  # lattice nodes that a worker remembers between batches
 LONG = 64  # longer pre-tokens share no prefixes, so that their scores can be rescaled
 TINY, SCALE = 1e-200, 1e200
 
@@ -164,9 +165,6 @@ def encode_batch(lattices: Lattices, keys: list[int], texts: list[str]) -> tuple
     return pieces, ends[firsts + sizes] - ends[firsts]
 
 
-_workers: dict[str, Lattices] = {}
-
-
 def encode(spark: SparkSession, key: Column, text: Column, temper: float = 1.0,
            model_path: str | None = None) -> Column:
     """Sampled piece ids of a text, ``array<int>``; null stays null, empty gives an empty array.
@@ -179,21 +177,19 @@ def encode(spark: SparkSession, key: Column, text: Column, temper: float = 1.0,
     ``key`` (a long; null counts as 0), the place of the pre-token and nothing else: the same row
     gives the same pieces in any partitioning and on any retry.
 
-    Tasks work on slices of 2 million characters, or one longer text; a worker keeps at most
-    700,000 lattice nodes between slices. No shuffle.
+    Tasks work on slices of 1 million characters, or one longer text; a worker keeps at most
+    300,000 lattice nodes between slices. No shuffle.
     """
     shared, run = spark.sparkContext.broadcast(Vocabulary.load(model_path)), uuid.uuid4().hex
 
     @F.arrow_udf("array<int>")
     def encoded(keys: pa.Array, texts: pa.Array) -> pa.Array:
-        if run not in _workers:
-            _workers.clear()
-            _workers[run] = Lattices(shared.value, temper)
+        lattices = worker_state(run, lambda: Lattices(shared.value, temper))
         ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
         for begin, end in slices(lengths):
             got = encode_batch(
-                _workers[run], pc.fill_null(keys.slice(begin, end - begin), 0).to_pylist(),
+                lattices, pc.fill_null(keys.slice(begin, end - begin), 0).to_pylist(),
                 pc.fill_null(texts.slice(begin, end - begin), "").to_pylist())
             ids.append(got[0])
             counts.append(got[1])

@@ -10,9 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .pieces import TokenNumbers, Vocabulary, new_depth, slices
+from .workers import worker_state
 
 
-MOST_KNOWN = 300_000  # pre-tokens that a worker remembers between slices
+MOST_KNOWN = 150_000  # pre-tokens that a worker remembers between slices
 
 
 class TrieCounts:
@@ -70,17 +71,14 @@ class TrieCounts:
         return sums[ends] - sums[ends - sizes]
 
 
-_workers: dict[str, TrieCounts] = {}
-
-
 def token_count(spark: SparkSession, text: Column, model_path: str | None = None) -> Column:
     """Number of pieces of the most probable segmentation of a text; null and empty texts have 0.
 
     Pieces and probabilities are those of :class:`Vocabulary` (by default the public 32k model;
     the file is read on the driver). Each task collects the distinct pre-tokens of a slice of its
-    rows (2 million characters, or one longer text), walks them in sorted order as a trie, and
+    rows (1 million characters, or one longer text), walks them in sorted order as a trie, and
     adds up the counts stored at their ends. It keeps the counts of at most
-    300,000 of them for later slices.
+    150,000 of them for later slices.
     No shuffle, and rows do not depend on each other: ties, repeated rows and hot keys change
     nothing.
     """
@@ -88,11 +86,9 @@ def token_count(spark: SparkSession, text: Column, model_path: str | None = None
 
     @F.arrow_udf("long")
     def counted(texts: pa.Array) -> pa.Array:
-        if key not in _workers:
-            _workers.clear()
-            _workers[key] = TrieCounts(shared.value)
+        count = worker_state(key, lambda: TrieCounts(shared.value))
         lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
-        parts = [_workers[key](texts.slice(begin, end - begin).to_pylist())
+        parts = [count(texts.slice(begin, end - begin).to_pylist())
                  for begin, end in slices(lengths)]
         return pa.array(np.concatenate([np.zeros(0, np.int64), *parts]))
 
