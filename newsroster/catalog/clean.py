@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
-from ..operators.ordering import order_by, sort_rows, with_position
+from ..operators.ordering import as_ranked, order_by, sort_rows, with_position
 from .landed import Landed, oracle
 
 
@@ -20,34 +20,34 @@ def rename_person(spark, folder):
 
 def remove_by_links(spark, folder):
     landed = Landed(spark, folder)
-    return C.remove_by_links(landed.mentions, landed.few_patterns)
+    return C.remove_by_links(landed.mentions, landed.listed("few_patterns"))
 
 
 def domain_blacklist(spark, folder):
     landed = Landed(spark, folder)
-    return C.drop_blocked_domains(landed.mentions, landed.few_domains)
+    return C.drop_blocked_domains(landed.mentions, landed.listed("few_domains"))
 
 
 def domain_blacklist_keys(spark, folder):
     """Rules as a table, however many."""
     landed = Landed(spark, folder)
-    return C.drop_blocked_domains(landed.mentions, landed.domain_rules, as_table=True)
+    return C.drop_blocked_domains(landed.mentions, landed.domain_rules)
 
 
 def url_stop_words(spark, folder):
     landed = Landed(spark, folder)
-    return C.drop_links_with(landed.mentions, landed.few_words)
+    return C.drop_links_with(landed.mentions, landed.listed("few_words"))
 
 
 def url_stop_words_keys(spark, folder):
     """Stop words as a table, however many."""
     landed = Landed(spark, folder)
-    return C.drop_links_with(landed.mentions, landed.word_rules, as_table=True)
+    return C.drop_links_with(landed.mentions, landed.word_rules)
 
 
 def url_filter(spark, folder):
     landed = Landed(spark, folder)
-    return C.url_filter(landed.mentions, landed.few_domains, landed.few_words)
+    return C.url_filter(landed.mentions, landed.listed("few_domains"), landed.listed("few_words"))
 
 
 def sort_one(spark, folder):
@@ -61,8 +61,8 @@ def sort_many(spark, folder):
 
 
 def sorted_rows(spark, folder):
-    """The global sort itself; rows leave in order, without a rank column."""
-    return sort_rows(Landed(spark, folder).mentions, ["Source", "Title"], [False, True])
+    """The global sort itself, and the place at which each row leaves."""
+    return as_ranked(sort_rows(Landed(spark, folder).mentions, ["Source", "Title"], [False, True]))
 
 
 def review_top_k(spark, folder):
@@ -74,7 +74,8 @@ def review_top_k(spark, folder):
 
 def funnel_counts(spark, folder):
     landed = Landed(spark, folder)
-    return C.funnel(landed.mentions, landed.few_domains, landed.few_words, landed.few_patterns)
+    rules = [landed.listed(name) for name in ("few_domains", "few_words", "few_patterns")]
+    return C.funnel(landed.mentions, *rules)
 
 
 def lead_columns(spark, folder):
@@ -95,7 +96,7 @@ DEDUPED = """
     SELECT ord, Person, Title, Date, Source, Link FROM (
         SELECT *, row_number() OVER (PARTITION BY Link ORDER BY ord) AS copy FROM {mentions})
     WHERE copy = 1"""
-HOST = ("regexp_replace(regexp_extract(lower(m.Link), "
+HOST = (r"regexp_replace(regexp_extract(lower(regexp_replace(m.Link, '^[\x00-\x20]+|[\t\r\n]', '', 'g')), "
         "'^([a-z][a-z0-9+.-]*:)?//([^/?#]*)', 2), '^www[.]', '')")
 # Whether any rule of the table named %s matches the host.
 BLOCKED = f"""EXISTS (SELECT 1 FROM {{%s}} r WHERE {HOST} = r.rule
@@ -124,7 +125,9 @@ ORACLE = {
     "sort_many": oracle("""
         SELECT *, row_number() OVER (ORDER BY Person, Date DESC NULLS LAST, ord) AS rank
         FROM {mentions}"""),
-    "sorted_rows": oracle("SELECT * FROM {mentions}"),
+    "sorted_rows": oracle("""
+        SELECT *, row_number() OVER (ORDER BY Source DESC NULLS LAST, Title NULLS LAST, ord) AS rank
+        FROM {mentions}"""),
     "review_top_k": oracle("""
         SELECT *, CAST(len(string_split(coalesce(Title, ''), ' ')) % 6 AS INT) AS Relevance
         FROM {mentions} ORDER BY Relevance DESC, Date DESC NULLS LAST, ord LIMIT 20"""),

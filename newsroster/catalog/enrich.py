@@ -26,7 +26,7 @@ def publish_date(spark, folder):
 
 
 def page_facts(spark, folder):
-    """One row per URL; texts at the length mentions keep."""
+    """One row per URL, whole texts."""
     return E.page_facts(Landed(spark, folder).dated_pages)
 
 
@@ -72,8 +72,8 @@ def sql_text(marked: str) -> str:
 
 def sql_article(html: str) -> str:
     def inner(tag):
-        return (f"nullif(regexp_extract({sql_visible(html)}, "
-                rf"'(?is)<{tag}\b[^>]*>(.*)</{tag}\s*>', 1), '')")
+        return (f"nullif(array_to_string(regexp_extract_all({sql_visible(html)}, "
+                rf"'(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>', 1), '</p>'), '')")
 
     blocks = (r"'(?i)</(p|div|h[1-6]|li|ul|ol|section|blockquote|tr|table|pre|figure)\s*>"
               r"|<br\s*/?>'")
@@ -85,8 +85,8 @@ def sql_article(html: str) -> str:
 
 
 PAGE_FACTS = f"""
-    SELECT url, left({sql_article('html')}, 1500) AS article,
-           left({sql_text(sql_visible('html'))}, 1500) AS page_text, day AS page_date
+    SELECT url, {sql_article('html')} AS article,
+           {sql_text(sql_visible('html'))} AS page_text, day AS page_date
     FROM (SELECT p.*, d.day, row_number() OVER (PARTITION BY p.url ORDER BY p.page_id) AS copy
           FROM {{dated_pages}} p JOIN {{dates}} d ON d.page_id = p.page_id) WHERE copy = 1"""
 # Where the view put a date.
@@ -101,9 +101,9 @@ ORACLE = {
     "publish_date": oracle("SELECT page_id, day FROM {dates}", dates=DATES),
     "page_facts": oracle("SELECT * FROM {facts}", dates=DATES, facts=PAGE_FACTS),
     "article_text": oracle(f"""
-        SELECT page_id, coalesce(left({sql_article('html')}, 1500),
+        SELECT page_id, coalesce({sql_article('html')},
                                  CASE WHEN url LIKE '%/4%' THEN url END,
-                                 left({sql_text(sql_visible('html'))}, 1500)) AS title_text
+                                 {sql_text(sql_visible('html'))}) AS title_text
         FROM {{dated_pages}}"""),
     "date_cut": oracle("""
         SELECT ord, Person, Title, CASE WHEN Link <> '' THEN left(Date, 10) ELSE Date END AS Date,

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ..operators.ordering import as_ranked
 from ..plans.collect import collect
 from ..plans.process import Rules, process
 from ..plans.publish import publish
@@ -47,21 +48,22 @@ def collect_state(spark, folder):
 
 
 def _rules(landed):
-    return Rules(landed.few_domains, landed.few_words, landed.few_patterns, landed.rename_rules)
+    return Rules(*[landed.listed(f"few_{kind}") for kind in ("domains", "words", "patterns")],
+                 landed.rename_rules)
 
 
 def process_job(spark, folder):
     landed = Landed(spark, folder)
     ranked = process(landed.mentions, _rules(landed), landed.pages, landed.link_answers)
-    return ranked.withColumnRenamed("Title text", "title_text")
+    return as_ranked(ranked.withColumnRenamed("Title text", "title_text"))
 
 
 def process_job_tables(spark, folder):
-    """The same job with rules as tables of any length."""
+    """The same job with rules as tables of any length, which are joined."""
     landed = Landed(spark, folder)
-    rules = Rules(landed.domain_rules, landed.word_rules, [], landed.rename_rules)
+    rules = Rules(landed.domain_rules, landed.word_rules, landed.few_patterns, landed.rename_rules)
     ranked = process(landed.mentions, rules, landed.pages, landed.link_answers)
-    return ranked.withColumnRenamed("Title text", "title_text")
+    return as_ranked(ranked.withColumnRenamed("Title text", "title_text"))
 
 
 def publish_job(spark, folder):
@@ -162,7 +164,11 @@ def _processed(domains: str, words: str, allowed: str) -> str:
                     ELSE coalesce({sql_score('a.answer')}, {sql_length_score('f.title_text')})
                END AS Relevance,
                coalesce(r.new, k.Person) AS Person, k.Title, left(k.Date, 10) AS Date, k.Source,
-               k.Link, k.ord, f.title_text
+               k.Link, k.ord, f.title_text,
+               row_number() OVER (ORDER BY CASE
+                   WHEN k.Title IS NULL OR coalesce(a.error, false) THEN 0
+                   ELSE coalesce({sql_score('a.answer')}, {sql_length_score('f.title_text')}) END DESC,
+                   left(k.Date, 10) DESC NULLS LAST, k.ord) AS rank
         FROM {{kept}} k LEFT JOIN {{rename_rules}} r ON r.old = k.Person
         LEFT JOIN {{texts_of}} f ON f.url = k.Link
         LEFT JOIN {{link_answers}} a ON a.Link = k.Link""",
@@ -171,8 +177,8 @@ def _processed(domains: str, words: str, allowed: str) -> str:
         SELECT m.* FROM {{deduped}} m WHERE m.Link IS NOT NULL AND NOT {BLOCKED % domains}
         AND NOT {WORDED % words} AND {allowed}""",
         texts_of=f"""
-        SELECT url, coalesce(left({sql_article('html')}, 1500),
-                             left({sql_text(sql_visible('html'))}, 1500)) AS title_text FROM pages""")
+        SELECT url, coalesce({sql_article('html')},
+                             {sql_text(sql_visible('html'))}) AS title_text FROM pages""")
 
 
 _OK = "SELECT * FROM {classified} WHERE outcome = 'ok' AND body_kind = 'list'"
@@ -189,7 +195,7 @@ ORACLE = {
         UNION ALL SELECT query, 'failures', CAST(n AS BIGINT) FROM {counts}
         WHERE query NOT IN (SELECT query FROM {finished})""", **_RUN),
     "process_job": _processed("few_domains", "few_words", f"NOT {PATTERNED}"),
-    "process_job_tables": _processed("domain_rules", "word_rules", "true"),
+    "process_job_tables": _processed("domain_rules", "word_rules", f"NOT {PATTERNED}"),
     "publish_job": oracle("""
         SELECT 'published' AS result, true AS complete,
                (SELECT count(*) FROM {stored}) AS ranked_rows, CAST(0 AS BIGINT) AS state_rows,

@@ -10,7 +10,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.files import read_table
 from ..sources.payloads import is_meta
 
 BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -29,13 +28,17 @@ VIEWS = {
                event_id % (SELECT count(*) FROM {pages}) AS hit,
                (event_id + user_id) % (SELECT count(*) FROM {pages}) AS other
         FROM {events}""",
-    # One mention per event: about forty copies per link, and one group of null links.
+    # One mention per event: about forty copies per link, one group of null links, and some links
+    # with blanks and tabs that do not change their host.
     "mentions": """
         SELECT e.event_id AS ord, n.n_name AS Person,
                CASE WHEN e.event_type = 'signup' THEN NULL ELSE l.title END AS Title,
                CASE WHEN e.event_type = 'error' THEN NULL
                     ELSE substring(CAST(e.ts AS VARCHAR(40)), 1, 19) END AS Date,
-               l.host AS Source, CASE WHEN e.value < 1 THEN NULL ELSE l.url END AS Link
+               l.host AS Source,
+               CASE WHEN e.value < 1 THEN NULL WHEN e.value < 1.3 THEN ' ' || chr(10) || l.url
+                    WHEN e.value < 1.6 THEN replace(l.url, 'example', 'exam' || chr(9) || 'ple')
+                    ELSE l.url END AS Link
         FROM {hits} e JOIN {links} l ON l.page_id = e.hit
         JOIN {nation} n ON n.n_nationkey = e.user_id % 25""",
     # A chain of renames, of which a name takes one step only.
@@ -113,7 +116,7 @@ VIEWS = {
     "log_records": """
         SELECT event_id, ts, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
                CASE event_type WHEN 'click' THEN 'gspread.client' WHEN 'purchase' THEN 'google.auth'
-                    WHEN 'signup' THEN 'urllib3.pool' WHEN 'view' THEN 'google_search_service'
+                    WHEN 'signup' THEN 'urllib3.pool' WHEN 'view' THEN 'google_like_name'
                     ELSE 'main' END AS logger_name, props AS message
         FROM {events}""",
     "board": """
@@ -151,7 +154,9 @@ VIEWS = {
                     ELSE e.html END AS html
         FROM {pages} p JOIN {links} l ON l.page_id = p.page_id
         JOIN (SELECT q.page_id, substring(CAST(v.ts AS VARCHAR(40)), 1, 10) AS day,
-                     CASE WHEN q.url LIKE '%/es/%' THEN replace(q.html, 'article>', 'section>')
+                     CASE WHEN q.url LIKE '%page=2%' THEN replace(q.html, '<footer>',
+                               '<nav>menu</nav><article>second <p>part</p></article><footer>')
+                          WHEN q.url LIKE '%/es/%' THEN replace(q.html, 'article>', 'section>')
                           WHEN q.url LIKE '%/de/%' THEN replace(q.html, 'article>', 'main>')
                           ELSE q.html END AS html
               FROM {pages} q JOIN {events} v ON v.event_id = q.page_id) e ON e.page_id = p.page_id""",
@@ -176,9 +181,6 @@ VIEWS = {
         FROM {labels}""",
 }
 
-# Tables with long texts, and the key that spreads them.
-WIDE = {"pages": "page_id", "documents": "doc_id"}
-
 _REF = re.compile(r"(?<!\\x)\{([a-z]\w*)\}")
 
 
@@ -218,18 +220,15 @@ class Landed:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE:
-            return self._base(name, WIDE.get(name))
+            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         if name not in VIEWS:
             raise AttributeError(name)
-        # These two read no long text, or cut it down at once.
-        light = name in ("links", "hits")
-        refs = {
-            ref: self._base(ref, None) if light and ref in BASE else getattr(self, ref)
-            for ref in set(_REF.findall(VIEWS[name]))}
+        refs = {ref: getattr(self, ref) for ref in set(_REF.findall(VIEWS[name]))}
         return self.spark.sql(VIEWS[name], **refs)
 
-    def _base(self, name: str, spread_by: str | None) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet", spread_by)
+    def listed(self, name: str) -> list[str]:
+        """A short rule view as a Python list."""
+        return [row[0] for row in getattr(self, name).collect()]
 
     def landed(self) -> DataFrame:
         """Attempts with their response bodies, in the dialect of their provider."""

@@ -65,7 +65,7 @@ def relevance_scores(spark, folder):
 
 
 def answer_text(spark, folder):
-    """Seven response shapes around whole documents."""
+    """Eight response shapes around whole documents."""
     said = F.col("text")
     one = lambda **fields: F.struct(*[v.alias(k) for k, v in fields.items()])
     bodies = [
@@ -79,7 +79,8 @@ def answer_text(spark, folder):
         F.to_json(one(results=F.array().cast("array<string>"), choices=F.array(one(output=said)))),
         F.to_json(one(output=said)),
         said,
-        F.lit('{"response":5,"done":true}')]
+        F.lit('{"response":5,"done":true}'),
+        F.to_json(one(results=F.lit("x"), choices=F.array(one(output=F.lit("no"))), output=said))]
     shape = F.col("doc_id") % len(bodies)
     body = F.when(shape == 0, bodies[0])
     for number, candidate in enumerate(bodies[1:], 1):
@@ -168,7 +169,7 @@ ORACLE = {
         SELECT doc_id, {sql_words('text')} AS words, {sql_paragraphs('text')} AS paragraphs,
                {_HAS_DATE} AS has_date, {_HAS_BYLINE} AS has_byline FROM {{paragraphs}}"""),
     "article_prompt": oracle(f"""
-        SELECT doc_id, 'Is this an article?' || chr(10) || left(text, 2000) || chr(10)
+        SELECT doc_id, 'Is this an article?' || chr(10) || text || chr(10)
                || 'Signals: Words: ' || {sql_words('text')} || '; Paragraphs: '
                || {sql_paragraphs('text')} || '; HasDate: '
                || CASE WHEN {_HAS_DATE} THEN 'True' ELSE 'False' END || '; HasByline: '
@@ -176,7 +177,7 @@ ORACLE = {
         FROM {{paragraphs}}"""),
     "relevance_prompt": oracle(f"""
         SELECT doc_id, 'Person: ' || person || chr(10) || 'Title: ' || coalesce(title, '') || chr(10)
-               || 'Text: ' || coalesce(nullif(left({sql_strip("coalesce(title_text, '')")}, 3000), ''),
+               || 'Text: ' || coalesce(nullif({sql_strip("coalesce(title_text, '')")}, ''),
                                        '(no text extracted)')
                || chr(10) || 'Score 0-5:' AS prompt
         FROM {{texts}}"""),
@@ -192,7 +193,7 @@ ORACLE = {
                     ELSE coalesce({sql_score('answer')}, {sql_length_score('title_text')}) END AS score
         FROM {_JUDGED}"""),
     "answer_text": f"""
-        SELECT doc_id, CASE WHEN doc_id % 7 = 6 THEN '{{"response":5,"done":true}}'
+        SELECT doc_id, CASE WHEN doc_id % 8 = 6 THEN '{{"response":5,"done":true}}'
                             ELSE {sql_strip('text')} END AS answer FROM documents""",
     "chat_answer_text": f"SELECT conv_id, turn, {sql_strip('text')} AS answer FROM conversations",
     "custom_scorer": oracle(_SCORER), "column_scorer": oracle(_SCORER),

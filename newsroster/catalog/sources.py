@@ -23,10 +23,13 @@ def scan_csv(spark, folder):
         F.col("doc_id").cast("string").alias("id"), F.col("source").alias("Person"),
         F.col("text").alias("Title"),
         F.when(F.col("lang") == "de", "n/a").when(F.col("lang") == "fr", "")
-        .when(F.col("lang") == "es", "NaN").otherwise(F.col("lang")).alias("Date"))
+        .when(F.col("lang") == "es", "NaN").otherwise(F.col("lang")).alias("Date"), "lang")
     path = scratch_path(spark, "scan_csv")
-    write_csv(rows, path)
-    return read_csv(spark, path, KEYED)
+    write_csv(rows.where("lang <> 'de'").drop("lang"), f"{path}/one")
+    # The same columns in another order, and one that nobody asked for.
+    write_csv(rows.where("lang = 'de'").select("Date", F.col("lang").alias("Extra"), "Title", "id", "Person"),
+              f"{path}/two")
+    return read_csv(spark, [f"{path}/one", f"{path}/two"], KEYED)
 
 
 def scan_ragged(spark, folder):

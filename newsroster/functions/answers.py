@@ -9,6 +9,11 @@ from pyspark.sql import Column, functions as F
 from .text import is_blank, strip
 
 
+# JSON values that count as nothing. The field names of the response shapes below
+# are fixed values as well.
+EMPTY = ["null", "false", "0", "0.0", '""', "[]", "{}"]
+
+
 def _string_at(value: Column, path: str) -> Column:
     """The JSON value at ``path`` if it is a string, else null."""
     found = F.try_variant_get(value, path, "variant")
@@ -34,11 +39,14 @@ def answer_text(body: Column) -> Column:
             *[F.when(~is_blank(text), strip(text)) for text in direct],
             strip(F.get(texts, F.lit(0))))
 
-    def filled(path: str) -> Column:
-        entries = F.try_variant_get(doc, path, "array<variant>")
-        return F.when(F.size(entries) > 0, entries)
+    def at(path: str) -> Column:
+        return F.try_variant_get(doc, path, "variant")
 
-    entries = F.coalesce(filled("$.results"), filled("$.choices"))
+    # A filled ``results`` of any kind ends the search for entries, also if it is no list.
+    first = F.to_json(at("$.results"))
+    filled = first.isNotNull() & ~first.isin(*EMPTY)
+    entries = F.when(filled, F.try_variant_get(doc, "$.results", "array<variant>")).otherwise(
+        F.try_variant_get(doc, "$.choices", "array<variant>"))
     answers = F.filter(F.transform(entries, from_entry), lambda text: text.isNotNull())
     return F.coalesce(
         strip(_string_at(doc, "$.response")),

@@ -41,8 +41,10 @@ def text_of(visible_html: Column) -> Column:
 
 def article_of(visible_html: Column) -> Column:
     def inner(tag: str) -> Column:
-        found = F.regexp_extract(visible_html, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}\s*>", 1)
-        return let(found, lambda text: F.when(text != "", text))
+        """What all elements of a kind hold; one begins a new paragraph after another."""
+        found = F.regexp_extract_all(
+            visible_html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
+        return let(F.array_join(found, "</p>"), lambda text: F.when(text != "", text))
 
     # U+0001 marks block ends while whitespace is collapsed around it.
     marked = F.regexp_replace(F.coalesce(inner("article"), inner("main")), BLOCK_END, "\u0001")
@@ -57,7 +59,7 @@ def page_text(html: Column) -> Column:
 
 
 def article_body(html: Column) -> Column:
-    """Text of ``<article>``, else of ``<main>``, paragraphs apart by a blank line; else null."""
+    """Text of all ``<article>``, else of all ``<main>``, paragraphs apart by a blank line; else null."""
     return let(visible(html), article_of)
 
 

@@ -9,7 +9,11 @@ from .text import any_of
 
 
 def netloc(url: Column) -> Column:
-    """Authority part with user and port kept; empty when the URL has no ``//``."""
+    """Authority part with user and port kept; empty when the URL has no ``//``.
+
+    Leading controls and blanks do not count, nor do tabs and line breaks anywhere.
+    """
+    url = F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
     return F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
 
 

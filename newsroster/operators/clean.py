@@ -14,9 +14,9 @@ from .ordering import sort_rows
 from .rules import literal_rules, rule_table
 
 LEAD_COLUMNS = ["Relevance", "Person", "Title", "Date", "Source", "Link"]
-# Longest word prefix used as a join key for stop words that come as a large table.
-ANCHOR = 6
-PATTERNS_PER_SCAN = 200
+# Length of the pieces of links and words that serve as join keys for rules in a table.
+PIECE = 6
+PATTERNS_PER_SCAN = 200  # alternatives in one regular expression; only splits the expression
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -72,23 +72,41 @@ def word_hit(words: list[str], lower: bool = True) -> Column:
 def remove_by_links(df: DataFrame, patterns, literal: bool = False) -> DataFrame:
     """Drop rows whose link matches any pattern; null links stay, no patterns drop nothing.
 
-    Patterns are regular expressions, or plain substrings with ``literal``.
+    Patterns are regular expressions, or plain substrings with ``literal``. Those of a table are
+    joined on a literal that each of them must contain and checked on the matches; the few
+    without such a literal are scanned for, chunk by chunk.
     """
     if literal:
         return drop_links_with(df, patterns, lower=False)
-    values = literal_rules(patterns, max_rules=20_000, max_bytes=1 << 20)
-    if values is None:
-        raise ValueError("over 20,000 patterns: apply the list in several calls")
-    return df.where(~pattern_hit(values))
+    values = literal_rules(patterns)
+    if values is not None:
+        return df.where(~pattern_hit(values))
+    rules = rule_table(df.sparkSession, patterns, "__rule").withColumn(
+        "__word", needed_literal(F.col("__rule")))
+    plain = [r[0] for r in rules.where("__word IS NULL").select("__rule").collect()]
+    blocked = _links_holding(
+        df, rules.where("__word IS NOT NULL"), F.col("Link"),
+        F.rlike("__text", "__rule"))
+    return df.where(~pattern_hit(sorted(plain))).join(blocked, "Link", "left_anti").select(*df.columns)
+
+
+def needed_literal(pattern: Column) -> Column:
+    """The longest literal that every match of a regular expression holds, or null if none is
+    easy to tell: patterns with groups, classes, escapes, counts or alternatives have none here.
+    """
+    simple = ~pattern.rlike(r"[|()\[\]{}\\]")
+    parts = F.split(F.regexp_replace(pattern, r".[*?][+?]?|[.^$+]", "\u0001"), "\u0001")
+    longest = F.sort_array(F.transform(parts, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))), False)
+    return F.when(simple, F.nullif(F.get(longest, F.lit(0))["x"], F.lit("")))
 
 
-def drop_blocked_domains(df: DataFrame, domains, as_table: bool | None = None) -> DataFrame:
+def drop_blocked_domains(df: DataFrame, domains) -> DataFrame:
     """Drop links whose host equals a rule, ends with ``.rule`` or starts with ``rule.``.
 
-    Few rules become one scan-time pattern. A large table is joined on host keys: first
-    the distinct hosts against the rules, then the mentions against the blocked hosts.
+    A list becomes one scan-time pattern. A table is joined on host keys: first the distinct
+    hosts against the rules, then the mentions against the blocked hosts.
     """
-    values = None if as_table else literal_rules(domains)
+    values = literal_rules(domains)
     if values is not None:
         return df.where(~domain_hit(values))
     host = urls.domain(F.col("Link"))
@@ -100,45 +118,68 @@ def drop_blocked_domains(df: DataFrame, domains, as_table: bool | None = None) -
     return df.withColumn("__host", host).join(blocked, "__host", "left_anti").drop("__host")
 
 
-def drop_links_with(
-    df: DataFrame, words, lower: bool = True, as_table: bool | None = None,
-) -> DataFrame:
+def drop_links_with(df: DataFrame, words, lower: bool = True) -> DataFrame:
     """Drop links that contain any of the words; only the link is lower-cased.
 
-    Few words become one scan-time pattern. A large table has no join key for "contains", so the
-    start of every word serves as one: links are cut into the pieces of those lengths, pieces
-    are matched by equality, and the full word is checked on the matches.
+    A list becomes one scan-time pattern, a table is joined.
     """
-    values = None if as_table else literal_rules(words)
+    values = literal_rules(words)
     if values is not None:
         return df.where(~word_hit(values, lower))
-    rules = rule_table(df.sparkSession, words, "__word").withColumn(
-        "__piece", F.left("__word", F.lit(ANCHOR)))
-    lengths = sorted(
-        r[0] for r in rules.select(F.length("__piece")).distinct().collect())  # at most ANCHOR + 1
-    if not lengths:
-        return df
+    rules = rule_table(df.sparkSession, words, "__word")
     link = F.lower("Link") if lower else F.col("Link")
-    links = df.select("Link", link.alias("__text")).where("__text IS NOT NULL").distinct()
-    starts = F.sequence(F.lit(1), F.greatest(F.length("__text"), F.lit(1)))
+    blocked = _links_holding(df, rules, link, F.col("__text").contains(F.col("__word")))
+    return df.join(blocked, "Link", "left_anti").select(*df.columns)
 
+
+def _pieces(text: Column, sizes: list[int]) -> Column:
+    """All distinct substrings of the given lengths."""
     def cut(size: int) -> Column:
-        return F.transform(starts, lambda i: F.substring("__text", i, F.lit(size)))
+        last = F.length(text) - size + 1
+        return F.when(last > 0, F.transform(
+            F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(size)))).otherwise(
+            F.array().cast("array<string>"))
 
-    pieces = F.array_distinct(F.flatten(F.array(*[cut(size) for size in lengths])))
-    blocked = (
-        links.withColumn("__piece", F.explode(pieces)).join(rules, "__piece")
-        .where(F.col("__text").contains(F.col("__word"))).select("Link").distinct())
-    return df.join(blocked, "Link", "left_anti").select(*df.columns)
+    return F.array_distinct(F.flatten(F.array(*[cut(size) for size in sizes])))
+
+
+def _links_holding(df: DataFrame, rules: DataFrame, link: Column, check: Column) -> DataFrame:
+    """Distinct links that hold a rule's ``__word`` and pass ``check``.
+
+    "Contains" has no join key, so a piece of the word serves as one: of all its pieces that
+    which the fewest distinct links hold. What many words and links share (a scheme, a common
+    host or path) is thus never joined on. Pieces of links are counted only where a rule has the
+    same piece, with partial sums before the shuffle. An empty word is in every link.
+    """
+    texts = df.select("Link", link.alias("__text")).where("__text IS NOT NULL").distinct()
+    words = rules.select("__word").distinct()
+    lengths = [r[0] for r in words.select(
+        F.least(F.length("__word"), F.lit(PIECE)).alias("n")).distinct().collect()]  # PIECE + 1 at most
+    sizes = sorted(n for n in lengths if n)
+    if not sizes:
+        cut = texts.withColumn("__piece", F.lit(""))
+    else:
+        cut = texts.withColumn("__piece", F.explode(_pieces(F.col("__text"), sizes)))
+    if 0 in lengths and sizes:
+        cut = cut.unionByName(texts.withColumn("__piece", F.lit("")))
+    own = F.when(F.length("__word") > PIECE, _pieces(F.col("__word"), [PIECE])).otherwise(
+        F.array("__word"))
+    offered = words.withColumn("__piece", F.explode(own))
+    counts = cut.join(offered.select("__piece").distinct(), "__piece", "left_semi").groupBy(
+        "__piece").agg(F.count(F.lit(1)).alias("n"))
+    # A word one of whose pieces is in no link is in none either.
+    rarest = offered.join(counts, "__piece", "left").groupBy("__word").agg(
+        F.min_by("__piece", F.coalesce("n", F.lit(0))).alias("__piece"),
+        F.min(F.coalesce("n", F.lit(0))).alias("n")).where("n > 0").drop("n")
+    return (
+        cut.join(rules.join(rarest, "__word"), "__piece").where(check)
+        .select("Link").distinct())
 
 
-def url_filter(
-    df: DataFrame, domains, words, as_table: bool | None = None,
-) -> DataFrame:
+def url_filter(df: DataFrame, domains, words) -> DataFrame:
     """Keep mentions that have a link, are not on a blocked host and hold no stop word."""
     linked = df.where(F.col("Link").isNotNull())
-    return drop_links_with(
-        drop_blocked_domains(linked, domains, as_table), words, as_table=as_table)
+    return drop_links_with(drop_blocked_domains(linked, domains), words)
 
 
 def ranked_for_review(df: DataFrame) -> DataFrame:
@@ -162,9 +203,9 @@ def funnel(df: DataFrame, domains, words, patterns) -> DataFrame:
     """Rows left after each cleaning step.
 
     Every step after the first looks at the link alone, so the mentions are reduced to one row
-    per distinct link (combined before the shuffle). Short rule lists are flags on those rows
-    and all steps are counted in the same pass; with rule tables the distinct links are pinned
-    and counted step by step.
+    per distinct link (combined before the shuffle). Rules in lists are flags on those rows and all
+    steps are counted in the same pass; with rules in tables the distinct links are pinned and
+    counted step by step.
     """
     links = df.groupBy("Link").agg(F.count(F.lit(1)).alias("copies"))
     lists = [literal_rules(rules) for rules in (patterns, domains, words)]

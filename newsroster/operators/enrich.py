@@ -8,42 +8,33 @@ from ..functions import html
 from .clean import first_per_key
 
 TEXT = "Title text"
-TEXT_LIMIT = 1500
 
 
-# Most links, and bytes of links, that are sent to every executor to pick pages by.
-MAX_WANTED, MAX_WANTED_BYTES = 1_000_000, 64 << 20
+def cut_text(text: Column, limit: int | None) -> Column:
+    """The text, or its first ``limit`` characters if the caller sets a limit."""
+    return text if limit is None else F.left(text, F.lit(limit))
 
 
-def page_facts(pages: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+def page_facts(pages: DataFrame, text_limit: int | None = None) -> DataFrame:
     """One row per URL, first fetched wins: article, page_text and page_date instead of html.
 
-    The html is reduced inside the scan stage; only short columns reach the shuffle. Texts are
-    built from the whole page and then cut to the length mentions store. ``wanted`` (one column
-    of links, cheap to recompute) spares the work on pages nobody mentions: it is measured, and
-    if it is small enough to broadcast the scan drops other pages before their html is touched.
-    Otherwise all pages are reduced, which still beats moving their html to a join.
+    The html is reduced inside the scan stage, whatever the number of pages; it never reaches a
+    shuffle. Texts are whole unless ``text_limit`` cuts them.
     """
-    if wanted is not None:
-        link = wanted.columns[0]
-        count, size = wanted.agg(
-            F.count(link), F.coalesce(F.sum(F.octet_length(link)), F.lit(0))).first()
-        if count <= MAX_WANTED and size <= MAX_WANTED_BYTES:
-            pages = pages.join(
-                F.broadcast(wanted), F.col("url") == F.col(link), "left_semi")
     facts = pages.withColumn("__visible", html.visible(F.col("html"))).select(
         "page_id", "url",
-        F.left(html.article_of(F.col("__visible")), F.lit(TEXT_LIMIT)).alias("article"),
-        F.left(html.text_of(F.col("__visible")), F.lit(TEXT_LIMIT)).alias("page_text"),
+        cut_text(html.article_of(F.col("__visible")), text_limit).alias("article"),
+        cut_text(html.text_of(F.col("__visible")), text_limit).alias("page_text"),
         html.publish_date(F.col("html"), F.col("url")).alias("page_date"))
     return first_per_key(facts, ["url"], [F.col("page_id")]).drop("page_id")
 
 
-def merge_text(article: Column, existing: Column, page_text: Column) -> Column:
+def merge_text(article: Column, existing: Column, page_text: Column,
+               text_limit: int | None = None) -> Column:
     """Article text overwrites what is there; the whole page only fills a gap."""
     return F.coalesce(
-        F.left(F.nullif(article, F.lit("")), F.lit(TEXT_LIMIT)), existing,
-        F.left(page_text, F.lit(TEXT_LIMIT)))
+        cut_text(F.nullif(article, F.lit("")), text_limit), existing,
+        cut_text(page_text, text_limit))
 
 
 def cut_date(df: DataFrame) -> DataFrame:

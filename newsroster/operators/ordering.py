@@ -36,6 +36,19 @@ def sort_rows(
     return df.orderBy(*order_by(columns, ascending, tie if tie in df.columns else None))
 
 
+def as_ranked(sorted_rows: DataFrame, name: str = "rank") -> DataFrame:
+    """Number the rows of a globally sorted table as they leave it.
+
+    The partitions of the sort are pinned and numbered in their order, so the ranks show the
+    order that was in fact produced.
+    """
+    placed = cut_lineage(
+        sorted_rows.withColumn(_PART, F.spark_partition_id())
+        .withColumn(_SLOT, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    based, _ = _with_base(placed, placed.groupBy(_PART).count())
+    return based.withColumn(name, F.col("__base") + F.col(_SLOT) + 1).drop(_PART, _SLOT, "__base")
+
+
 def _placed(df: DataFrame, keys: list[Column], slot: Column | None = None) -> DataFrame:
     """Range-partition by ``keys`` and pin every row's partition and slot on shared storage.
 

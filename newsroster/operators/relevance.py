@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import answers as A
 from ..functions import text as X
+from .enrich import cut_text
 
-# Signals of the feature summary, and the thresholds and cuts of the rules.
+# Signals of the feature summary, and the thresholds of the rules.
 DATE_TOKENS = ["Published", "published", "©", "20", "19"]
 BYLINE_TOKENS = ["By ", "by "]
 ARTICLE_WORDS, ARTICLE_PARAGRAPHS = 200, 2
 LENGTH_STEPS = [1, 100, 300]
-ARTICLE_CUT, RELEVANCE_CUT, TITLE_CUT = 2000, 3000, 300
 NO_PERSON, NO_TEXT = "(unknown)", "(no text extracted)"
 
 
@@ -34,26 +34,35 @@ def feature_summary(text: Column) -> Column:
     def flag(name: str) -> Column:
         return F.when(features[name], "True").otherwise("False")
 
+    # Fixed value: the form of the line.
     return X.fill_template(
         "Words: {words}; Paragraphs: {paragraphs}; HasDate: {date}; HasByline: {byline}.",
         words=features["words"].cast("string"), paragraphs=features["paragraphs"].cast("string"),
         date=flag("has_date"), byline=flag("has_byline"))
 
 
-def article_prompt(text: Column, template: str) -> Column:
-    """The user's template with ``{text}`` and ``{context}`` filled in."""
+def article_prompt(text: Column, template: str, text_limit: int | None = None) -> Column:
+    """The user's template with ``{text}`` and ``{context}`` filled in.
+
+    ``text_limit``: characters of the text that fit the prompt of the caller's model; the whole
+    text by default. The context always describes the whole text.
+    """
     return X.fill_template(
-        template, text=F.left(text, F.lit(ARTICLE_CUT)), context=feature_summary(text))
+        template, text=cut_text(text, text_limit), context=feature_summary(text))
 
 
-def relevance_prompt(person: Column, title: Column, text: Column, template: str) -> Column:
-    """The user's template with ``{person}``, ``{title}`` and ``{text}`` filled in."""
+def relevance_prompt(
+    person: Column, title: Column, text: Column, template: str,
+    text_limit: int | None = None, title_limit: int | None = None,
+) -> Column:
+    """The user's template with ``{person}``, ``{title}`` and ``{text}`` filled in; whole by
+    default, cut where the caller's model takes so many characters only."""
     body = X.strip(F.coalesce(text, F.lit("")))
     return X.fill_template(
         template,
         person=F.coalesce(F.nullif(person, F.lit("")), F.lit(NO_PERSON)),
-        title=F.left(F.coalesce(title, F.lit("")), F.lit(TITLE_CUT)),
-        text=F.coalesce(F.nullif(F.left(body, F.lit(RELEVANCE_CUT)), F.lit("")), F.lit(NO_TEXT)))
+        title=cut_text(F.coalesce(title, F.lit("")), title_limit),
+        text=F.coalesce(F.nullif(cut_text(body, text_limit), F.lit("")), F.lit(NO_TEXT)))
 
 
 def is_article(text: Column, answer: Column) -> Column:
@@ -106,6 +115,7 @@ def relevance_scores(
 
 
 Scorer = Callable[[Column, Column, Column], Column]
+Judge = Callable[[Column], Column]
 
 
 def score_with(mentions: DataFrame, scorer: Scorer, text: str = "Title text") -> DataFrame:
@@ -117,7 +127,7 @@ def score_with(mentions: DataFrame, scorer: Scorer, text: str = "Title text") ->
     return mentions.withColumn("Relevance", F.coalesce(score.cast("int"), F.lit(0)))
 
 
-def filter_with(mentions: DataFrame, judge: Callable[[Column], Column],
+def filter_with(mentions: DataFrame, judge: Judge,
                 text: str = "Title text") -> DataFrame:
     """Keep rows whose text a caller's judge accepts; null texts and null verdicts are kept."""
     value = F.col(f"`{text}`")

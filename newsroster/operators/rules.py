@@ -1,37 +1,14 @@
-"""Rule lists of checked size: small ones become literals, others stay tables."""
+"""Rule lists: Python lists become literals, tables stay tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-MAX_RULES = 1000
-MAX_BYTES = 256 * 1024
-MAX_LENGTH = 1024  # characters of one rule that travel with the measurement
 
-
-def literal_rules(
-    rules, max_rules: int = MAX_RULES, max_bytes: int = MAX_BYTES,
-) -> list[str] | None:
-    """The distinct rules if they are few and short, else None.
-
-    A table's first column is counted and measured in the job that fetches it, which returns
-    ``max_rules + 1`` cut texts at most.
-    """
-    if not isinstance(rules, DataFrame):
-        values = sorted(set(rules))
-        fits = len(values) <= max_rules and sum(len(v.encode()) for v in values) <= max_bytes
-        return values if fits else None
-    values = rules.select(F.col(f"`{rules.columns[0]}`").alias("rule")).where("rule IS NOT NULL")
-    probe = values.distinct().limit(max_rules + 1)
-    count, size, longest, found = probe.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("rule")), F.lit(0)),
-        F.coalesce(F.max(F.length("rule")), F.lit(0)),
-        F.collect_list(F.left("rule", F.lit(MAX_LENGTH)))).first()
-    if count > max_rules or size > max_bytes:
-        return None
-    if longest > MAX_LENGTH:  # measured by now, and small in total
-        found = [r[0] for r in probe.collect()]
-    return sorted(found)
+def literal_rules(rules) -> list[str] | None:
+    """The distinct rules of a Python list, or None for a table. The caller chooses by type: a
+    list is short enough to be part of the plan, a table may have any length."""
+    return None if isinstance(rules, DataFrame) else sorted(set(rules))
 
 
 def rule_table(spark: SparkSession, rules, name: str) -> DataFrame:

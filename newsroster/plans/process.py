@@ -13,7 +13,10 @@ from ..sources import rules as rule_lists
 
 @dataclass(frozen=True)
 class Rules:
-    """Rule lists, each a Python list or a one-column table; renames as (old, new) rows."""
+    """Rule lists; renames as (old, new) rows.
+
+    A Python list becomes part of the plan, a one-column table of any length is joined.
+    """
 
     domains: object = field(default_factory=list)
     stop_words: object = field(default_factory=list)
@@ -43,17 +46,19 @@ def cleaned(mentions: DataFrame, rules: Rules) -> DataFrame:
 
 def scored(
     mentions: DataFrame, rules: Rules, pages: DataFrame, replies: DataFrame | None = None,
-    scorer: relevance.Scorer | None = None,
+    scorer: relevance.Scorer | None = None, text_limit: int | None = None,
+    judge: relevance.Judge | None = None,
 ) -> DataFrame:
     """Cleaned mentions with texts and dates from ``pages`` and a relevance score.
 
-    The cleaned rows are pinned on shared storage: they are read twice, to pick the pages worth
-    parsing and to be filled, and the costly page stage need not repeat the cleaning if an
-    executor is lost.
+    ``judge`` drops what is no article before scoring. The cleaned rows are pinned on shared
+    storage, so that the costly page stage need not repeat the cleaning if an executor is lost.
     """
     rows = cut_lineage(cleaned(mentions, rules))
-    facts = enrich.page_facts(pages, rows.select("Link"))
+    facts = enrich.page_facts(pages, text_limit)
     filled = enrich.fill_blanks(rows, facts, all_linked=True)
+    if judge is not None:
+        filled = relevance.filter_with(filled, judge)
     if scorer is not None:
         return relevance.score_with(filled, scorer)
     return relevance.relevance_scores(filled, replies, "Link")
@@ -61,10 +66,12 @@ def scored(
 
 def process(
     mentions: DataFrame, rules: Rules, pages: DataFrame, replies: DataFrame | None = None,
-    scorer: relevance.Scorer | None = None,
+    scorer: relevance.Scorer | None = None, text_limit: int | None = None,
+    judge: relevance.Judge | None = None,
 ) -> DataFrame:
     """The ranked review table, lead columns first. ``replies``: (Link, answer, error)."""
-    ranked = clean.ranked_for_review(scored(mentions, rules, pages, replies, scorer))
+    ranked = clean.ranked_for_review(
+        scored(mentions, rules, pages, replies, scorer, text_limit, judge))
     return clean.lead_columns_first(ranked)
 
 

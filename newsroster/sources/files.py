@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import csv
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..schema import RAW
@@ -14,39 +17,58 @@ MISSING = [
 ]
 
 
-SMALL_TABLE = 256 << 20
+def headers(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header: its column names in order. A header is the first line of a file."""
+    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"),
+        "value")
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, header in first.select("file", "header").collect():  # one row per file
+        names = tuple(next(csv.reader([header.removeprefix("\ufeff")]), []))
+        found.setdefault(names, []).append(file)
+    return found
 
 
-def read_table(spark: SparkSession, path, spread_by: str | None = None) -> DataFrame:
-    """Parquet scan. A table with long texts that is small may sit in one row group, which one
-    task would read: below 256 MB it is spread by ``spread_by``. Large tables split by themselves.
-    """
-    rows = spark.read.parquet(path)
-    if spread_by is None:
-        return rows
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= SMALL_TABLE:
-        return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism, spread_by)
+def _cells(spark: SparkSession, path, schema: T.StructType, *more: Column) -> DataFrame:
+    """The columns of ``schema`` by their names in each file's header; null where a file has no
+    such column, other columns left out. Files of one header are scanned together."""
+    def scan(names: tuple[str, ...], files: list[str]) -> DataFrame:
+        kinds = {f.name: f.dataType for f in schema.fields}
+        columns = [name if names.index(name) == k else f"{name} {k}" for k, name in enumerate(names)]
+        rows = (
+            spark.read.schema(T.StructType([
+                T.StructField(c, kinds.get(c, T.StringType())) for c in columns]))
+            .option("header", True).option("multiLine", True).option("escape", '"').csv(files))
+        return rows.select(*more, *[
+            F.col(f"`{f.name}`") if f.name in columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields])
+
+    groups = sorted(headers(spark, path).items())
+    if not groups:
+        empty = spark.createDataFrame([], schema)
+        return empty.select(*[F.lit(None).alias("ord") for _ in more], "*")
+    return reduce(DataFrame.unionByName, [scan(names, files) for names, files in groups])
+
+
+def _with_missing(name: str, kind: T.DataType) -> Column:
+    cell = F.col(f"`{name}`")
+    return F.when(~cell.isin(MISSING), cell).alias(name) if isinstance(kind, T.StringType) else cell
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType = RAW) -> DataFrame:
-    """Header CSV with quoted commas, quotes and newlines; missing-value words become null."""
-    rows = (
-        spark.read.schema(schema).option("header", True).option("multiLine", True)
-        .option("escape", '"').option("enforceSchema", True).csv(path))
-    return rows.select(*[
-        F.when(~F.col(f"`{f.name}`").isin(MISSING), F.col(f"`{f.name}`")).alias(f.name)
-        if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-        for f in schema.fields])
+    """Header CSV with quoted commas, quotes and newlines; missing-value words become null.
+
+    Columns are found by header name, whatever their order.
+    """
+    return _cells(spark, path, schema).select(
+        *[_with_missing(f.name, f.dataType) for f in schema.fields])
 
 
 def read_ragged_csv(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    """Exported sheets, many at once: short rows are padded with '', long rows cut."""
-    rows = (
-        spark.read.schema(schema).option("header", True).option("multiLine", True)
-        .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
-    return rows.select(*[
+    """Exported sheets, many at once: short rows are padded with '', long rows cut, columns found
+    by header name."""
+    return _cells(spark, path, schema).select(*[
         F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in schema.names])
 
 
@@ -56,11 +78,9 @@ def read_mentions(spark: SparkSession, path) -> DataFrame:
     A quoted newline keeps a file in one task, so ids rise with the lines of a file; part files
     are numbered in row order by the writer.
     """
-    columns = [F.col(c) for c in RAW.names]
-    rows = (
-        spark.read.schema(RAW).option("header", True).option("multiLine", True)
-        .option("escape", '"').csv(path))
-    return rows.select(
-        F.struct(F.col("_metadata.file_name").alias("file"),
-                 F.monotonically_increasing_id().alias("row")).alias("ord"),
-        *[F.when(~c.isin(MISSING), c).alias(name) for c, name in zip(columns, RAW.names)])
+    name = F.col("_metadata.file_name")
+    place = F.struct(
+        F.coalesce(F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), F.lit(0)).alias("part"),
+        name.alias("file"), F.monotonically_increasing_id().alias("row"))
+    return _cells(spark, path, RAW, place.alias("ord")).select(
+        "ord", *[_with_missing(f.name, f.dataType) for f in RAW.fields])

@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, differences
+from newsroster import catalog
 
 FOLDER = entry_points.SMOKE_DATA
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from newsroster.operators import clean, enrich, relevance
 from newsroster.operators.ordering import order_by, sort_rows, with_position, with_running_total
@@ -57,43 +57,86 @@ def test_rename_is_not_chained(spark, mentions):
     assert [r["Person"] for r in df.orderBy("ord").collect()] == ["B", "C", None]
 
 
-@pytest.mark.parametrize("as_table", [None, True])
-def test_url_filter(mentions, as_table):
+def rule_list(spark, values, as_table):
+    """Rules as a Python list, or the same as a table."""
+    return spark.createDataFrame([(v,) for v in values], "rule string") if as_table else values
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_url_filter(spark, mentions, as_table):
     df = mentions(
         *[{"Link": link} for link in (
             "https://good.com/page", "https://bad.com/page", "https://site.com/stopword/page",
             "http://bad.com:8080/x", "https://sub.bad.com/", "http://www.bad.org/", "http://x.bad/",
             "https://site.com/STOPWORD/", None, "https://notbad.com/")])
-    kept = links(clean.url_filter(df, ["bad.com", "bad", "GOOD.com"], ["stopword", "GOOD"], as_table))
+    rules = [rule_list(spark, values, as_table)
+             for values in (["bad.com", "bad", "GOOD.com"], ["stopword", "GOOD"], ["bad.com"])]
+    kept = links(clean.url_filter(df, *rules[:2]))
     assert kept == ["https://good.com/page", "https://notbad.com/"]
     # A port belongs to the host, so the plain rule does not match it.
-    only = links(clean.drop_blocked_domains(df, ["bad.com"], as_table))
+    only = links(clean.drop_blocked_domains(df, rules[2]))
     assert "http://bad.com:8080/x" in only and "https://sub.bad.com/" not in only
 
 
-def test_stop_words_as_table_equal_brute_force(mentions):
+def test_stop_words_as_table_equal_brute_force(spark, mentions):
     source = random.Random(3)
     urls = ["http://" + "".join(source.choices("abc/.%$", k=source.randint(0, 14))) for _ in range(300)]
     words = sorted({"".join(source.choices("abc/.%$", k=source.randint(2, 9))) for _ in range(60)})
     df = mentions(*[{"Link": url} for url in urls])
     expected = [u for u in urls if not any(w in u for w in words)]
-    assert links(clean.drop_links_with(df, words, as_table=True)) == expected
+    assert links(clean.drop_links_with(df, rule_list(spark, words, True))) == expected
     assert links(clean.drop_links_with(df, words)) == expected
-    assert links(clean.drop_links_with(df, [], as_table=True)) == urls
-
-
-def test_long_rule_lists_stay_tables(mentions):
+    assert links(clean.drop_links_with(df, rule_list(spark, [], True))) == urls
+    assert links(clean.drop_links_with(df, rule_list(spark, [""], True))) == []
+
+
+def test_words_with_one_start_are_not_paired_with_all_links(spark, mentions):
+    """All words and links share twenty leading characters; the rarest piece is joined on."""
+    n = 400
+    df = mentions(*[{"Link": f"https://www.example.com/news/{k:05d}x"} for k in range(n)])
+    words = spark.createDataFrame(
+        [(f"https://www.example.com/news/{k:05d}z",) for k in range(n)]
+        + [("https://www.example.com/news/00007",)], "rule string")
+    seen = Observation("joined")
+    blocked = clean._links_holding(
+        df, words.withColumnRenamed("rule", "__word"), F.lower("Link"), F.lit(True))
+    joined = blocked.observe(seen, F.count(F.lit(1)).alias("rows"))
+    joined.collect()
+    assert seen.get["rows"] <= 2 * n
+    assert len(links(clean.drop_links_with(df, words))) == n - 1
+
+
+def test_patterns_of_a_table(spark, mentions):
+    urls = ["http://a.com/x1", "http://b.com/xx", "http://c.com/y", "http://d.com/q?z", None]
+    df = mentions(*[{"Link": u} for u in urls])
+    patterns = ["a.com", "x+$", "(y|never)$", "nothing.*here", "q[?]z", "^none"]
+    table = rule_list(spark, patterns, True)
+    assert links(clean.remove_by_links(df, table)) == links(clean.remove_by_links(df, patterns)) == [None]
+    literal = spark.createDataFrame([(p,) for p in patterns + ["ab*cd+e", "a*", "."]], "p string").select(
+        clean.needed_literal(F.col("p")).alias("w")).collect()
+    assert [r.w for r in literal] == ["com", "x", None, "nothing", None, "none", "cd", None, None]
+
+
+def test_many_patterns(spark, mentions):
+    df = mentions({"Link": "http://a.com/w49999"}, {"Link": "http://b.com"})
+    many = spark.range(50_000).select(F.concat(F.lit("/w"), F.col("id"), F.lit("$")).alias("rule"))
+    assert links(clean.remove_by_links(df, many)) == ["http://b.com"]
+
+
+def test_long_rule_lists(spark, mentions):
     df = mentions({"Link": "http://r1500.com/"}, {"Link": "http://ok.com/w1500z"}, {"Link": "http://ok.com/"})
     domains = [f"r{n}.com" for n in range(2000)]
     words = [f"w{n}z" for n in range(2000)]
-    assert links(clean.url_filter(df, domains, words)) == ["http://ok.com/"]
+    for as_table in (False, True):
+        rules = [rule_list(spark, values, as_table) for values in (domains, words)]
+        assert links(clean.url_filter(df, *rules)) == ["http://ok.com/"]
 
 
-def test_funnel_both_ways(mentions):
+def test_funnel_both_ways(spark, mentions):
     df = mentions({"Link": "http://a.com"}, {"Link": "http://a.com"}, {"Link": None},
                   {"Link": "http://bad.com"}, {"Link": "http://gone.com"})
     expected = [("raw", 5), ("deduplicated", 4), ("links_removed", 3), ("url_filtered", 1)]
-    for domains in (["bad.com"], ["bad.com"] + [f"r{n}.org" for n in range(1200)]):
+    for domains in (["bad.com"], rule_list(spark, ["bad.com", "r.org"], True)):
         rows = clean.funnel(df, domains, [], ["gone"]).orderBy("step_no").collect()
         assert [(r["step"], r["rows"]) for r in rows] == expected
 
@@ -156,18 +199,17 @@ def test_fill_blanks(spark, mentions):
         {"Link": None, "Date": "2020-02-02T10:00"}, {"Link": "", "Date": "2020-02-02T10:00"})
     rows = enrich.fill_blanks(df, facts).orderBy("ord").collect()
     assert [(r["Date"], r["Title text"]) for r in rows] == [
-        ("2024-05-01", "page"), ("2020-02-02", "kept"), (None, "body"), (None, "x" * 1500),
+        ("2024-05-01", "page"), ("2020-02-02", "kept"), (None, "body"), (None, "x" * 2000),
         (None, None), ("2020-02-02T10:00", None), ("2020-02-02T10:00", None)]
     assert enrich.fill_blanks(df.drop("Title text"), facts).columns[-1] == "Title text"
 
 
-def test_unmentioned_pages_change_nothing(spark, mentions):
-    rows = pages(spark, ("u1", "<p>a</p>"), ("u2", "<p>b</p>"))
-    df = mentions({"Link": "u1"})
-    some = enrich.page_facts(rows, df.select("Link"))
-    assert [r["url"] for r in some.collect()] == ["u1"]
-    every = enrich.page_facts(rows)
-    assert enrich.fill_blanks(df, some).collect() == enrich.fill_blanks(df, every).collect()
+def test_long_pages_score_by_all_their_words(spark, mentions):
+    rows = pages(spark, ("u1", "<article>" + "word " * 2000 + "</article>"), ("u2", "<p>b</p>"))
+    filled = enrich.fill_blanks(mentions({"Link": "u1", "Title": "t"}), enrich.page_facts(rows))
+    assert relevance.relevance_scores(filled, None, "ord").first()["Relevance"] == 3
+    cut = enrich.page_facts(rows, text_limit=9).where("url = 'u1'").first()
+    assert cut["article"] == "word word"
 
 
 def test_article_rules(spark):

@@ -70,7 +70,8 @@ def test_compact_date(spark, values):
     assert column(spark, values, dates.compact_date) == [_compact(v) for v in values]
 
 
-URLS = ["http://www.bad.com:8080/x", "https://user@Host.org/a?b#c", "HTTP://WWW.X.COM", "host/x",
+URLS = [
+    " https://bad.com/x", "\x01\thttps://bad.com/x", "http://ba\td.co\nm:8/x", " //x.y","http://www.bad.com:8080/x", "https://user@Host.org/a?b#c", "HTTP://WWW.X.COM", "host/x",
         "//cdn.net/y", "", "mailto:x@y", "https://a_b.com/ q", "ftp://f.org?x", "http://h.org#f"]
 
 
@@ -119,6 +120,11 @@ def test_page_text_and_article(spark):
         "Head\n\nOne & two\n\nthree\n\nFour five"] * 2 + [None]
 
 
+def test_every_article_counts(spark):
+    two = "<article><p>a</p></article><nav>menu</nav><article>b</article><main>m</main>"
+    assert column(spark, [two], html.article_body) == ["a\n\nb"]
+
+
 def test_publish_date_cascade(spark):
     meta = '<meta property="article:published_time" content="2024-05-01T10:00:00Z">'
     turned = '<META content="2024-05-02" name="datePublished">'
@@ -139,7 +145,9 @@ def test_answer_shapes(spark):
         '{"choices": [{"message": {"content": "no"}}, {"output": "x"}]}': "x",
         '{"results": [], "choices": [{"content": [{"kind": 1}, {"text": 3}]}]}': "3",
         '{"text": "t", "output": "o"}': "o", "[1]": "[1]", " plain ": "plain",
-        '{"results": "no list", "content": "c"}': "c", '"quoted"': '"quoted"'}
+        '{"results": "no list", "content": "c"}': "c",
+        '{"results": "x", "choices": [{"text": "no"}], "output": "o"}': "o",
+        '{"results": 0, "choices": [{"text": "yes"}]}': "yes",  '"quoted"': '"quoted"'}
     assert column(spark, list(cases), answers.answer_text) == list(cases.values())
     chat = '{"choices": [{"message": {"content": " 5 "}}]}'
     assert column(spark, [chat], answers.chat_answer_text) == ["5"]

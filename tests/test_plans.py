@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from newsroster import catalog
 
 FOLDER = entry_points.SMOKE_DATA
-QUERIES = entry_points.queries()
+QUERIES = catalog.queries()
 
 
 def plan(spark, name):
@@ -40,9 +41,35 @@ def test_small_renames_are_broadcast_by_size(spark):
     assert "BroadcastHashJoin" in plan(spark, "rename_person")
 
 
-def test_html_does_not_pass_the_join(spark):
-    text = plan(spark, "html_to_text")
-    assert "ReadSchema: struct<page_id:bigint,html:string>" in text
+@pytest.mark.parametrize("name", ["html_to_text", "fill_blanks", "process_job"])
+def test_html_is_in_no_exchange(spark, name):
+    from newsroster.catalog.landed import Landed
+    from newsroster.operators import enrich
+    from newsroster.plans.process import Rules, scored
+
+    landed = Landed(spark, FOLDER)
+    frame = {
+        "html_to_text": lambda: QUERIES["html_to_text"](spark, FOLDER),
+        "fill_blanks": lambda: enrich.fill_blanks(landed.mentions, enrich.page_facts(landed.pages)),
+        # The query ranks a pinned table; the stage that reads pages is this one.
+        "process_job": lambda: scored(landed.mentions, Rules(), landed.pages, landed.link_answers),
+    }[name]()
+    exchanged = [
+        node.output().mkString(",") for node in _nodes(frame._jdf.queryExecution().sparkPlan())
+        if "Exchange" in node.nodeName()]
+    plan_ = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan_
+    assert not any("html" in columns for columns in exchanged)
+    for line in plan_.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "html" not in line
+
+
+def _nodes(plan_):
+    yield plan_
+    children = plan_.children()
+    for k in range(children.size()):
+        yield from _nodes(children.apply(k))
 
 
 def test_link_filters_run_before_the_dedup(spark):

@@ -306,7 +306,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 def test_log_stream(spark, tmp_path):
     path, out, check = (str(tmp_path / n) for n in ("records", "log", "check"))
     rows = [(1, datetime(2024, 1, 1, 10), "INFO", "main", "a"), (2, datetime(2024, 1, 1, 11), "INFO", "google.auth", "b"),
-            (3, datetime(2024, 1, 1, 12, 0, 1), "ERROR", "google_search_service", "c")]
+            (3, datetime(2024, 1, 1, 12, 0, 1), "ERROR", "google_like_name", "c")]
     df = spark.createDataFrame(rows, "event_id int, ts timestamp, level string, logger_name string, message string")
     df.write.parquet(path)
     ship_logs(spark, path, df.schema, out, check)
