@@ -11,6 +11,11 @@ from ..sources.payloads import is_meta, with_items
 from .landed import Landed, oracle
 
 
+# Limits of the runs here: two calls for a page, two pages, twenty results.
+TRIES = 2
+LIMITS = {"max_results": 20, "tries": TRIES, "meta_pages": 2}
+
+
 def flat_items(landed):
     """The flat items with a search-shaped ``item`` column."""
     pagemap = F.when(F.col("published").isNotNull(), F.struct(F.array(F.create_map(
@@ -27,16 +32,16 @@ def classify_attempts(spark, folder):
 
 def page_outcome(spark, folder):
     rows = I.classify_attempts(with_items(Landed(spark, folder).landed()))
-    return I.page_outcome(rows)
+    return I.page_outcome(rows, tries=TRIES)
 
 
 def partial_results(spark, folder):
-    pages = query_pages(Landed(spark, folder).landed())
+    pages = query_pages(Landed(spark, folder).landed(), **LIMITS)
     return pages.select("query", "page", "stop", "n_items", "status", "usable")
 
 
 def query_status(spark, folder):
-    return I.query_status(query_pages(Landed(spark, folder).landed()))
+    return I.query_status(query_pages(Landed(spark, folder).landed(), **LIMITS))
 
 
 def unique_links_capped(spark, folder):
@@ -58,8 +63,7 @@ def flatten_items(spark, folder):
 
 def query_results(spark, folder):
     """The mapping form: capped item lists per query, as their links."""
-    capped = I.cap_per_query(flat_items(Landed(spark, folder)), 100)
-    return I.items_by_query(capped).select(
+    return I.items_by_query(flat_items(Landed(spark, folder)), 100).select(
         "query", F.array_join(F.transform("items", lambda item: item["link"]), " ").alias("links"))
 
 
@@ -92,10 +96,13 @@ CLASSIFIED = """
     LEFT JOIN (SELECT event_id, count(*) AS n, count(*) FILTER (WHERE link <> '') AS linked
                FROM {attempt_items} GROUP BY event_id) i ON i.event_id = a.event_id"""
 PAGES = """
-    SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY query, page ORDER BY
-                      CASE WHEN outcome IN ('ok', 'quota') THEN 0 ELSE 1 END, try_no) AS rn
-        FROM {classified} WHERE try_no <= 3) WHERE rn = 1"""
+    SELECT * EXCLUDE (outcome), CASE WHEN outcome = 'failure' AND last_try < 2 THEN 'open'
+                                     ELSE outcome END AS outcome
+    FROM (
+        SELECT *, row_number() OVER (PARTITION BY query, page ORDER BY run DESC,
+                      CASE WHEN outcome IN ('ok', 'quota') THEN 0 ELSE 1 END, try_no) AS rn,
+               max(try_no) OVER (PARTITION BY query, page, run) AS last_try
+        FROM {classified}) WHERE rn = 1"""
 STOPS = """
     SELECT query, page, event_id, meta,
            CASE WHEN outcome <> 'ok' THEN outcome
@@ -103,24 +110,30 @@ STOPS = """
            CAST(CASE WHEN outcome <> 'ok' OR body_kind = 'missing' THEN 0
                      WHEN meta THEN n_linked ELSE n_all END AS INT) AS n_items
     FROM {pages_tried}"""
-FIRST_STOPS = """
-    SELECT query, min(page) AS stop_page FROM {stops} WHERE stop IS NOT NULL GROUP BY query"""
+# Pages without a gap before them, a stop before them, or twenty results before them (no query of
+# the given data has that many, so that repeated links need not be told apart here).
+ASKED = """
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY query ORDER BY page) AS place,
+               coalesce(sum(n_items) OVER (PARTITION BY query ORDER BY page
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS found,
+               count(stop) OVER (PARTITION BY query ORDER BY page
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stops
+        FROM {stops} WHERE page <= 2)
+    WHERE place = page AND stops = 0 AND found < 20"""
 STATUS = """
-    SELECT s.query,
-           CASE WHEN max(CASE WHEN s.page = f.stop_page AND s.stop = 'quota' THEN 1 ELSE 0 END) = 1
-                THEN 'quota'
-                WHEN max(CASE WHEN s.page = f.stop_page AND s.stop = 'failure' THEN 1 ELSE 0 END) = 1
-                     AND coalesce(sum(CASE WHEN s.page < f.stop_page THEN s.n_items END), 0) = 0
-                THEN 'failed' ELSE 'done' END AS status
-    FROM {stops} s LEFT JOIN {first_stops} f ON f.query = s.query GROUP BY s.query"""
+    SELECT query,
+           CASE WHEN count(*) FILTER (stop = 'quota') > 0 THEN 'quota'
+                WHEN count(*) FILTER (stop = 'failure' AND found = 0) > 0 THEN 'failed'
+                WHEN count(*) FILTER (stop IN ('empty', 'failure') OR (stop IS NULL AND page = 2)) > 0
+                     OR sum(n_items) >= 20 THEN 'done' ELSE 'open' END AS status
+    FROM {asked_pages} GROUP BY query"""
 PARTIAL = """
     SELECT s.query, s.page, s.stop, s.n_items, t.status, s.event_id, s.meta,
            s.stop IS NULL AND t.status = 'done' AS usable
-    FROM {stops} s JOIN {status_of} t ON t.query = s.query
-    LEFT JOIN {first_stops} f ON f.query = s.query
-    WHERE f.stop_page IS NULL OR s.page <= f.stop_page"""
+    FROM {asked_pages} s JOIN {status_of} t ON t.query = s.query"""
 STEPS = {"classified": CLASSIFIED, "pages_tried": PAGES, "stops": STOPS,
-         "first_stops": FIRST_STOPS, "status_of": STATUS, "partial": PARTIAL}
+         "asked_pages": ASKED, "status_of": STATUS, "partial": PARTIAL}
 
 ORACLE = {
     "classify_attempts": oracle(

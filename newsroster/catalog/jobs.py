@@ -17,7 +17,7 @@ from ..streaming.logs import ship_logs
 from ..streaming.resume import resume
 from .clean import BLOCKED, DEDUPED, PATTERNED, WORDED
 from .enrich import sql_article, sql_text, sql_visible
-from .ingest import STEPS
+from .ingest import LIMITS, STEPS
 from .landed import Landed, oracle
 from .planning import roster_sheet
 from .relevance import sql_length_score, sql_score
@@ -28,7 +28,7 @@ AT = datetime(2024, 6, 30, 12, 5)
 
 def _collected(landed, completed=None):
     return collect(roster_sheet(landed), landed.landed(), completed or stored(landed),
-                   landed.failure_counts)
+                   landed.failure_counts, **LIMITS)
 
 
 def collect_job(spark, folder):
@@ -141,7 +141,7 @@ _RUN = {
                                             ORDER BY p.page, i.pos) AS copy
                   FROM {partial} p JOIN {attempt_items} i ON i.event_id = p.event_id
                   WHERE p.usable AND p.query IN (SELECT query FROM {waiting}))
-            WHERE NOT meta OR (link <> '' AND copy = 1)) WHERE item_ord < 100""",
+            WHERE NOT meta OR (link <> '' AND copy = 1)) WHERE item_ord < 20""",
     "counts": """
         SELECT query, sum(n) AS n FROM (
             SELECT query, n FROM {failure_counts}

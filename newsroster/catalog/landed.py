@@ -80,8 +80,8 @@ VIEWS = {
         SELECT e.event_id, c.c_name AS query, c.c_custkey AS query_ord,
                CASE WHEN c.c_mktsegment IN ('MACHINERY', 'BUILDING') THEN ' SearXNG '
                     ELSE 'google' END AS provider,
-               CAST((day(e.ts) - 1) % 10 + 1 AS INT) AS page,
-               CAST(row_number() OVER (PARTITION BY c.c_custkey, (day(e.ts) - 1) % 10
+               CAST((day(e.ts) - 1) % 3 + 1 AS INT) AS page, CAST(day(e.ts) % 2 AS INT) AS run,
+               CAST(row_number() OVER (PARTITION BY c.c_custkey, (day(e.ts) - 1) % 3, day(e.ts) % 2
                                        ORDER BY e.ts, e.event_id) AS INT) AS try_no,
                CASE WHEN e.event_type = 'error' THEN 500 WHEN e.value > 150 THEN 429
                     WHEN e.event_type = 'purchase' AND e.value < 10 THEN 403 ELSE 200 END AS status,
@@ -93,7 +93,7 @@ VIEWS = {
                     ELSE 'list' END AS body_kind
         FROM {events} e JOIN {customer} c ON c.c_custkey = e.user_id""",
     "attempt_items": """
-        SELECT e.event_id, e.user_id, CAST((day(e.ts) - 1) % 10 + 1 AS INT) AS page, s.pos, l.title,
+        SELECT e.event_id, e.user_id, CAST((day(e.ts) - 1) % 3 + 1 AS INT) AS page, s.pos, l.title,
                CASE WHEN s.shift = 1 AND e.value < 2 THEN '' ELSE l.url END AS link, l.host,
                CASE WHEN s.shift = 1 THEN NULL
                     ELSE substring(CAST(e.ts AS VARCHAR(40)), 1, 19) END AS published
@@ -250,5 +250,5 @@ class Landed:
             .when(F.col("body_kind") == "missing", "{}")
             .when(is_meta(F.col("provider")), meta).otherwise(search))
         return rows.select(
-            "event_id", "query", "query_ord", "provider", "page", "try_no", "status", "message",
+            "event_id", "query", "query_ord", "provider", "run", "page", "try_no", "status", "message",
             body.alias("body"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import state as S
+from ..operators.ingest import unique_links_capped
 from ..schema import ITEM
 from ..session import scratch_path
 from ..sinks.state_store import StateStore
@@ -31,8 +32,8 @@ def _links(completed):
 def state_mark_done(spark, folder):
     """All found items become results; both tables after the upsert, told apart by ``part``."""
     landed = Landed(spark, folder)
-    found = landed.items.groupBy("query").agg(F.sort_array(F.array_distinct(
-        F.collect_list("link"))).alias("links"))
+    kept = unique_links_capped(landed.items, 100)  # the lists that a state holds are capped
+    found = kept.groupBy("query").agg(F.sort_array(F.collect_list("link")).alias("links"))
     done = found.select("query", F.transform("links", lambda link: F.struct(
         F.lit(None).cast("string").alias("title"), link.alias("link"),
         F.lit(None).cast("string").alias("displayLink"),
@@ -97,12 +98,17 @@ _COUNTS = """
 
 ORACLE = {
     "state_mark_done": oracle("""
-        SELECT query, 'completed' AS part, array_to_string(list_sort(list(DISTINCT link)), ' ') AS links,
-               CAST(NULL AS INT) AS n FROM {items} GROUP BY query
+        SELECT query, 'completed' AS part, array_to_string(list_sort(list(link)), ' ') AS links,
+               CAST(NULL AS INT) AS n FROM {kept} GROUP BY query
         UNION ALL SELECT query, 'completed', link, NULL FROM {stored}
-        WHERE query NOT IN (SELECT query FROM {items})
+        WHERE query NOT IN (SELECT query FROM {kept})
         UNION ALL SELECT query, 'failures', NULL, n FROM {failure_counts}
-        WHERE query NOT IN (SELECT query FROM {items})"""),
+        WHERE query NOT IN (SELECT query FROM {kept})""", kept="""
+        SELECT query, link FROM (
+            SELECT *, row_number() OVER (PARTITION BY query ORDER BY page, pos) AS place
+            FROM (SELECT *, row_number() OVER (PARTITION BY query, link ORDER BY page, pos) AS copy
+                  FROM {items} WHERE link <> '') WHERE copy = 1)
+        WHERE place <= 100"""),
     "state_failures": oracle(_COUNTS),
     "give_up": oracle(
         "SELECT query, n, CASE WHEN n >= 3 THEN 'give_up' ELSE 'retry' END AS decision FROM {counts}",

@@ -12,7 +12,7 @@ from .planning import MAX_RESULTS, META_PAGES, PAGE_SIZE
 
 # Words that make a refused call (403) a quota matter.
 QUOTA_WORDS = ["quota", "ratelimitexceeded", "dailylimitexceeded", "userratelimitexceeded"]
-TRIES = 3
+TRIES = 3  # calls made for a page before it counts as failed, by default
 
 
 def attempt_outcome(
@@ -40,18 +40,26 @@ def classify_attempts(landed: DataFrame) -> DataFrame:
         is_meta(F.col("provider"))))
 
 
-def page_outcome(attempts: DataFrame, carry: list[str] = ()) -> DataFrame:
-    """One row per (query, page): the first success or quota stop within the tries, else failure.
+def page_outcome(attempts: DataFrame, carry: list[str] = (), tries: int = TRIES) -> DataFrame:
+    """One row per (query, page): what its latest run found out.
 
-    A plain aggregation, combined before the shuffle, however often a page was tried.
+    The first success or quota stop of that run counts, whatever its try; without one the page is
+    a ``failure`` once ``tries`` calls have landed and ``open`` until then. The outcome does not
+    depend on the order of rows. A plain aggregation, combined before the shuffle, however often
+    a page was tried.
     """
-    decided = F.col("outcome").isin("ok", "quota")
-    best = F.min_by(
-        F.struct("outcome", "try_no", *carry),
-        F.struct(F.when(decided, 0).otherwise(1).alias("late"), "try_no"))
+    run = F.coalesce("run", F.lit(0))
+    late = F.when(F.col("outcome").isin("ok", "quota"), 0).otherwise(1)
+    best = F.min_by(F.struct("outcome", "try_no", *carry),
+                    F.struct((-run).alias("run"), late.alias("late"), "try_no", "outcome"))
+    last = F.max(F.struct(run.alias("run"), "try_no"))["try_no"]
     return (
-        attempts.where(F.col("try_no") <= TRIES).groupBy("query", "page")
-        .agg(best.alias("best")).select("query", "page", "best.*"))
+        attempts.groupBy("query", "page").agg(best.alias("best"), last.alias("last_try"))
+        .select("query", "page", "best.*", "last_try")
+        .withColumn("outcome", F.when(
+            (F.col("outcome") == "failure") & (F.col("last_try") < tries), F.lit("open"))
+            .otherwise(F.col("outcome")))
+        .drop("last_try"))
 
 
 def stop_reason(pages: DataFrame) -> DataFrame:
@@ -71,29 +79,53 @@ def stop_reason(pages: DataFrame) -> DataFrame:
         .withColumn("n_items", F.when(F.col("items").isNull(), 0).otherwise(counted)))
 
 
-def partial_results(pages: DataFrame, max_results: int = MAX_RESULTS) -> DataFrame:
+def partial_results(
+    pages: DataFrame, max_results: int | None = None, meta_pages: int = META_PAGES,
+) -> DataFrame:
     """Pages up to the first stop of their query, with ``usable`` and the query's ``status``.
 
-    Input: one row per (query, page) with ``n_items``, ``stop`` and ``provider``. Status is ``done``,
-    ``failed`` (stopped by a failure before anything was found) or ``quota`` (what the query
-    found in this run is discarded). The stopping page itself stays, not usable.
-    Only pages the plan asks for count: ten in the meta dialect, otherwise as many as
-    ``max_results`` takes. So a window over a query holds ten rows at most.
+    Input: one row per (query, page) with ``items``, ``n_items``, ``stop`` and ``provider``. Pages
+    count as far as they follow each other from 1 on, until ``max_results`` items are there (None:
+    all); the meta dialect counts different links.
+    Status is ``quota`` (what the query found in this run is discarded), ``failed`` (stopped by a
+    failure before anything was found), ``done`` (an empty page, a failure after results, the
+    last page of the plan, or enough items) or ``open``: more pages are to come. The plan has as
+    many pages as ``max_results`` takes, and ``meta_pages`` in the meta dialect. The stopping
+    page itself stays, not usable.
     """
-    last = F.when(is_meta(F.col("provider")), META_PAGES).otherwise(
-        -(-min(max_results, MAX_RESULTS) // PAGE_SIZE))
+    planned = F.lit(None).cast("int") if max_results is None else F.lit(-(-max_results // PAGE_SIZE))
+    meta = is_meta(F.col("provider"))
+    last = F.when(meta, meta_pages).otherwise(planned)
+    links = F.when(meta, F.filter(
+        F.transform("items", lambda item: item["link"]), lambda link: link != ""))
+
+    def items_in(window) -> Column:
+        different = F.size(F.array_distinct(F.flatten(F.collect_list("__links").over(window))))
+        return F.when(meta, different).otherwise(F.coalesce(F.sum("n_items").over(window), F.lit(0)))
+
+    enough = F.lit(None).cast("long") if max_results is None else F.lit(max_results)
     run = Window.partitionBy("query").orderBy("page")
     before = run.rowsBetween(Window.unboundedPreceding, -1)
-    ends = F.when(F.col("stop") == "quota", F.lit("quota")).when(
-        (F.col("stop") == "failure") & (F.col("found") == 0), F.lit("failed"))
+    whole = Window.partitionBy("query")
+    reached = F.coalesce(items_in(whole) >= enough, F.lit(False))
+    status = (
+        F.when(F.bool_or(F.coalesce(F.col("stop") == "quota", F.lit(False))).over(whole), "quota")
+        .when(F.bool_or(F.coalesce(
+            (F.col("stop") == "failure") & (F.col("found") == 0), F.lit(False))).over(whole), "failed")
+        .when(reached | F.bool_or(F.coalesce(F.col("stop").isin("empty", "failure"), F.lit(False))
+                                  | F.coalesce(F.col("stop").isNull() & (F.col("page") == last), F.lit(False))
+                                  ).over(whole), "done")
+        .otherwise("open"))
     return (
-        pages.where(F.col("page").between(1, META_PAGES) & (F.col("page") <= last))
-        .withColumn("found", F.coalesce(F.sum("n_items").over(before), F.lit(0)))
-        .withColumn("stops", F.count("stop").over(before)).where("stops = 0")
-        .withColumn("status", F.coalesce(
-            F.max(ends).over(Window.partitionBy("query")), F.lit("done")))
+        pages.where((F.col("page") >= 1) & F.coalesce(F.col("page") <= last, F.lit(True)))
+        .withColumn("__links", links).withColumn("place", F.row_number().over(run))
+        .withColumn("found", items_in(before))
+        .withColumn("stops", F.count("stop").over(before))
+        .where((F.col("stops") == 0) & (F.col("place") == F.col("page"))
+               & F.coalesce(F.col("found") < enough, F.lit(True)))
+        .withColumn("status", status)
         .withColumn("usable", F.col("stop").isNull() & (F.col("status") == "done"))
-        .drop("found", "stops"))
+        .drop("found", "stops", "place", "__links"))
 
 
 def query_status(kept: DataFrame) -> DataFrame:
@@ -153,8 +185,11 @@ def flatten_items(queries: DataFrame, items: DataFrame) -> DataFrame:
     return rows.unionByName(placeholders)
 
 
-def items_by_query(items: DataFrame) -> DataFrame:
-    """(query, items) lists in page order. For capped items: a list must fit a row."""
+def items_by_query(items: DataFrame, max_results: int = MAX_RESULTS) -> DataFrame:
+    """(query, items) lists of the first ``max_results`` items in page order. The limit comes
+    before the lists, so that each fits a row."""
+    items = cap_per_query(items, max_results)
+
     def compare(a: Column, b: Column) -> Column:
         later = (a["page"] > b["page"]) | ((a["page"] == b["page"]) & (a["pos"] > b["pos"]))
         return F.when(later, 1).otherwise(-1)

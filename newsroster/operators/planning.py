@@ -10,7 +10,7 @@ from ..functions.dates import compact_date, iso_day
 from ..functions.text import strip, strip_chars, unquote
 from .ordering import order_by, with_running_total
 
-# Limits of the search interface.
+# Limits of the search interface, used as defaults.
 MAX_RESULTS = 100
 PAGE_SIZE = 10
 META_PAGES = 10
@@ -64,10 +64,16 @@ def in_date_range(df: DataFrame, column: str, start: str | None, end: str | None
     return df.where((first.isNull() & last.isNull()) | inside)
 
 
-def plan_pages(queries: DataFrame, max_results: Column | int = MAX_RESULTS) -> DataFrame:
-    """One row per page to ask for: start offset and number of results."""
-    wanted = F.lit(max_results) if isinstance(max_results, int) else max_results
-    wanted = F.least(wanted.cast("int"), F.lit(MAX_RESULTS))
+def plan_pages(
+    queries: DataFrame, max_results: Column | int = MAX_RESULTS,
+    interface_limit: int | None = MAX_RESULTS,
+) -> DataFrame:
+    """One row per page to ask for: start offset and number of results.
+
+    ``interface_limit``: results that the interface gives for one query at most, None if all.
+    """
+    wanted = _wanted(F.lit(max_results) if isinstance(max_results, int) else max_results,
+                     interface_limit)
     return (
         queries.withColumn("__wanted", wanted).where("__wanted > 0")
         .withColumn("start", F.explode(F.sequence(F.lit(1), F.col("__wanted"), F.lit(PAGE_SIZE))))
@@ -76,9 +82,14 @@ def plan_pages(queries: DataFrame, max_results: Column | int = MAX_RESULTS) -> D
         .drop("__wanted"))
 
 
-def page_cost(max_results: Column) -> Column:
+def _wanted(max_results: Column, limit: int | None) -> Column:
+    wanted = max_results.cast("int")
+    return wanted if limit is None else F.least(wanted, F.lit(limit))
+
+
+def page_cost(max_results: Column, interface_limit: int | None = MAX_RESULTS) -> Column:
     """Calls one query takes."""
-    wanted = F.greatest(F.least(max_results.cast("int"), F.lit(MAX_RESULTS)), F.lit(0))
+    wanted = F.greatest(_wanted(max_results, interface_limit), F.lit(0))
     return F.ceil(wanted / PAGE_SIZE).cast("int")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.binding import let
 from ..operators import ingest, planning, state
+from ..session import cut_lineage
 from ..sources.payloads import is_meta, with_items
 
 
@@ -36,17 +37,21 @@ class Collected:
         return state.run_status(self.queries, self.completed)
 
 
-def query_pages(landed: DataFrame, max_results: int = planning.MAX_RESULTS) -> DataFrame:
+def query_pages(
+    landed: DataFrame, max_results: int | None = planning.MAX_RESULTS,
+    tries: int = ingest.TRIES, meta_pages: int = planning.META_PAGES,
+) -> DataFrame:
     """Landed attempts to the pages of each query up to its first stop."""
     attempts = ingest.classify_attempts(with_items(landed))
-    pages = ingest.page_outcome(attempts, carry=["provider", "items"])
-    return ingest.partial_results(ingest.stop_reason(pages), max_results)
+    pages = ingest.page_outcome(attempts, ["provider", "items"], tries)
+    return ingest.partial_results(ingest.stop_reason(pages), max_results, meta_pages)
 
 
-def query_outcomes(pages: DataFrame, max_results: int) -> DataFrame:
+def query_outcomes(pages: DataFrame, max_results: int | None) -> DataFrame:
     """One row per query: status and its capped items in page order.
 
-    A query has ten pages at most, so its pages fit one row. The meta dialect drops results
+    The items of a query are at most ``max_results`` and what its last page adds, or all that the
+    interface gives for it (None), and fit one row. The meta dialect drops results
     without a link and repeated links. Grouping follows the window of ``query_pages`` by the same
     key and needs no shuffle of its own.
     """
@@ -64,34 +69,44 @@ def query_outcomes(pages: DataFrame, max_results: int) -> DataFrame:
         F.max("status").alias("status"), F.bool_or(is_meta(F.col("provider"))).alias("meta"),
         F.array_sort(lists, by_page).alias("lists"))
     hits = F.flatten(F.transform("lists", lambda p: p["items"]))
+    kept = F.when(F.col("meta"), unique(F.col("hits"))).otherwise(F.col("hits"))
+    if max_results is not None:
+        kept = F.slice(kept, F.lit(1), F.lit(max_results))
     return (
         grouped.select("query", "status", "meta", hits.alias("hits"))
-        .select("query", "status", F.when(
-            F.col("meta"), F.slice(unique(F.col("hits")), F.lit(1), F.lit(max_results))).otherwise(
-            F.slice("hits", F.lit(1), F.lit(min(max_results, planning.MAX_RESULTS)))).alias("items")))
+        .select("query", "status", kept.alias("items")))
 
 
 def collect(
     roster: DataFrame, landed: DataFrame, completed: DataFrame, failures: DataFrame, *,
     optional: bool = False, spellings: bool = False,
-    max_results: int = planning.MAX_RESULTS, give_up_after: int = state.GIVE_UP_AFTER,
+    max_results: int | None = planning.MAX_RESULTS, give_up_after: int = state.GIVE_UP_AFTER,
+    tries: int = ingest.TRIES, meta_pages: int = planning.META_PAGES,
 ) -> Collected:
-    """One run over the attempts that landed since the last one.
+    """One run over the attempts that landed for pending queries.
 
-    Only pending queries are read. A failed query counts one failure and is retried by a later
-    run until it is given up with an empty result; quota leaves a query pending.
+    A failed query counts one failure and is retried by a later run until it is given up with an
+    empty result. Quota leaves a query pending, and so does a query whose pages have not all
+    landed yet: hand its earlier pages in again with the later ones. If no results are wanted
+    (0), every query is done with an empty result.
+
+    What a run found is one row per query, pinned on shared storage: bodies are read once,
+    however many of the resulting tables are used.
     """
     queries = planning.expand_roster(roster, optional, spellings)
     pending = state.pending_queries(queries, completed)
     asked = landed.join(pending.select("query"), "query", "left_semi")
-    pages = query_pages(asked, max_results)
-    run = query_outcomes(pages, max_results).join(
+    nothing = F.array().cast(completed.schema["items"].dataType)
+    if max_results == 0:
+        outcomes = pending.select("query", F.lit("done").alias("status"), nothing.alias("items"))
+    else:
+        outcomes = query_outcomes(query_pages(asked, max_results, tries, meta_pages), max_results)
+    run = outcomes.join(
         failures.withColumnRenamed("n", "before"), "query", "full")
     failed = F.coalesce(F.col("status") == "failed", F.lit(False))
-    counted = run.withColumn("n", F.coalesce("before", F.lit(0)) + failed.cast("int"))
+    counted = cut_lineage(run.withColumn("n", F.coalesce("before", F.lit(0)) + failed.cast("int")))
     given_up = failed & (F.col("n") >= give_up_after)
     finished = given_up | F.coalesce(F.col("status") == "done", F.lit(False))
-    nothing = F.array().cast(completed.schema["items"].dataType)
     done = counted.where(finished).select(
         "query", F.when(given_up, nothing).otherwise(F.col("items")).alias("items"))
     # Pending and completed queries are disjoint, so the upsert is a union.

@@ -17,11 +17,12 @@ META_ITEM = T.StructType([
     T.StructField("publishedDate", T.StringType()),
 ])
 
-# One landed HTTP attempt for one result page of one query.
+# One landed HTTP attempt for one result page of one query; runs tell the days apart.
 LANDED = T.StructType([
     T.StructField("query", T.StringType()),
     T.StructField("query_ord", T.LongType()),
     T.StructField("provider", T.StringType()),
+    T.StructField("run", T.IntegerType()),
     T.StructField("page", T.IntegerType()),
     T.StructField("try_no", T.IntegerType()),
     T.StructField("status", T.IntegerType()),
@@ -29,7 +30,7 @@ LANDED = T.StructType([
     T.StructField("body", T.StringType()),
 ])
 
-# Column names and order of the raw export.
+# Column names and order of the raw export.
 RAW_COLUMNS = ["Person", "Title", "Date", "Source", "Link"]
 RAW = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 
@@ -42,6 +43,7 @@ FAILURES = T.StructType([
     T.StructField("n", T.IntegerType()),
 ])
 
+# The headers of the sheets.
 ROSTER = T.StructType([
     T.StructField(c, T.StringType())
     for c in ("Priority", "Member ENG", "Member UKR", "Pronounciations")

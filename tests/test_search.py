@@ -89,10 +89,10 @@ def hit(link, day=None):
     return out
 
 
-def attempt(query, page, body, status=200, try_no=1, provider="google", message=""):
+def attempt(query, page, body, status=200, try_no=1, provider="google", message="", run=1):
     if not isinstance(body, str):
         body = json.dumps(body)
-    return (query, 0, provider, page, try_no, status, message, body)
+    return (query, 0, provider, run, page, try_no, status, message, body)
 
 
 def landed(spark, *rows):
@@ -117,8 +117,50 @@ def test_partial_results(spark):
         attempt("short", 1, {"items": []}), attempt("short", 2, {"items": [hit("s")]}),
         attempt("junk", 1, "<html>"), attempt("deep", 11, {"items": [hit("n")]}))
     assert found == {
-        "first": ("failed", []), "later": ("done", ["a", "b"]), "retry": ("done", ["r"]),
-        "quota": ("quota", []), "end": ("done", ["a"]), "short": ("done", ["s"]), "junk": ("failed", [])}
+        "first": ("failed", []), "later": ("done", ["a", "b"]), "retry": ("open", []),
+        "fourth": ("open", []), "quota": ("quota", []), "end": ("done", ["a"]), "short": ("open", []),
+        "junk": ("open", [])}
+    # What was open is done as soon as the plan is read to its end.
+    assert outcomes(spark, attempt("fourth", 1, {"items": [hit("r")]}, 200, 4), cap=10) == {
+        "fourth": ("done", ["r"])}
+
+
+def test_latest_run_decides_in_any_order(spark):
+    quota, ok = attempt("q", 1, "", 429, run=1), attempt("q", 1, {"items": [hit("a")]}, run=2)
+    for rows in ((quota, ok), (ok, quota)):
+        assert outcomes(spark, *rows, cap=10) == {"q": ("done", ["a"])}
+        assert outcomes(spark, *[r[:3] + (3 - r[3],) + r[4:] for r in rows], cap=10) == {"q": ("quota", [])}
+
+
+def test_gaps_and_caps(spark):
+    ten = {"items": [hit(str(n)) for n in range(10)]}
+    found = outcomes(
+        spark, attempt("gap", 1, ten), attempt("gap", 3, ten),
+        *[attempt("long", p, ten) for p in range(1, 13)], attempt("long", 13, {}), cap=None)
+    assert found["gap"] == ("open", []) and len(found["long"][1]) == 120
+    page = {"results": [{"title": "t", "url": "http://a.x/1"}]}
+    capped = outcomes(spark, attempt("q", 1, page, provider="searxng"),
+                      attempt("q", 2, "", 429, provider="searxng"), cap=1)
+    assert capped == {"q": ("done", ["http://a.x/1"])}
+    assert len(outcomes(spark, *[attempt("q", p, ten) for p in range(1, 21)], cap=200)["q"][1]) == 200
+
+
+def test_half_read_query_stays_pending(spark):
+    people = roster(spark, ("", "q", "", ""))
+    ten = {"items": [hit(str(n)) for n in range(10)]}
+    first, rest = attempt("q", 1, ten), [attempt("q", p, ten, run=2) for p in range(2, 11)]
+    one = collect(people, landed(spark, first), *tables(spark))
+    assert one.completed.count() == one.failures.count() == 0 and not one.status.first()["complete"]
+    two = collect(people, landed(spark, first, *rest), one.completed, one.failures)
+    assert len(two.completed.first()["items"]) == 100 and two.status.first()["complete"]
+
+
+def test_one_failed_try_of_three_is_no_failure(spark):
+    people = roster(spark, ("", "q", "", ""))
+    run = collect(people, landed(spark, attempt("q", 1, "", 500)), *tables(spark))
+    assert run.failures.count() == run.completed.count() == 0
+    none = collect(people, landed(spark), *tables(spark), max_results=0)
+    assert none.completed.first()["items"] == [] and none.status.first()["complete"]
 
 
 def test_meta_dialect(spark):
@@ -162,13 +204,13 @@ def test_resume_after_quota(spark):
     people = roster(spark, *[("", n, "", "") for n in NAMES])
     good = [attempt(n, 1, {"items": [hit(f"http://x/{n}", "2024-05-01T10:00:00Z")]}) for n in NAMES]
     stopped = attempt(NAMES[2], 1, "", 429)
-    one = collect(people, landed(spark, *good[:2], stopped), *tables(spark))
+    one = collect(people, landed(spark, *good[:2], stopped), *tables(spark), max_results=10)
     assert tuple(one.status.first()) == (2, 2, False)
     store = StateStore(spark, scratch_path(spark, "resume"))
     store.save(one.completed, one.failures)
     # The second run sees all attempts; only the unfinished queries are taken from them.
     changed = attempt(NAMES[0], 1, {"items": [hit("http://changed")]})
-    two = collect(people, landed(spark, changed, *good[2:]), *store.load())
+    two = collect(people, landed(spark, changed, *good[2:]), *store.load(), max_results=10)
     assert tuple(two.status.first()) == (4, 0, True)
     rows = two.raw.orderBy("ord").collect()
     assert [r["Link"] for r in rows] == [f"http://x/{n}" for n in NAMES]
@@ -177,7 +219,7 @@ def test_resume_after_quota(spark):
 
 def test_give_up_on_third_failure(spark):
     people = roster(spark, ("", "q", "", ""), ("", "other", "", ""))
-    failed = landed(spark, attempt("q", 1, "", 500))
+    failed = landed(spark, *[attempt("q", 1, "", 500, t) for t in (1, 2, 3)])
     state_now = tables(spark)
     for expected in (1, 2):
         run = collect(people, failed, *state_now)
@@ -278,11 +320,11 @@ def test_publish(spark, tmp_path):
     at = datetime(2024, 5, 1, 9, 30)
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     rank = lambda raw: process(raw, Rules(), pages)
-    part = publish(collect(people, landed(spark, *good[:2]), *store.load()), rank, store, str(tmp_path), at)
+    part = publish(collect(people, landed(spark, *good[:2]), *store.load(), max_results=10), rank, store, str(tmp_path), at)
     assert part["complete"] is False and part["ranked"] is None
     assert part["raw"].endswith("/2024-05-01_09-30_search_results.csv")
     assert [r[0] for r in spark.read.text(part["links"]).collect()] == [f"http://x.org/{NAMES[0]}"]
-    full = publish(collect(people, landed(spark, *good), *store.load()), rank, store, str(tmp_path), at)
+    full = publish(collect(people, landed(spark, *good), *store.load(), max_results=10), rank, store, str(tmp_path), at)
     assert full["complete"] and store.load()[0].count() == 0
     assert read_mentions(spark, full["raw"]).count() == 4
     results = spark.read.parquet(str(tmp_path / "results"))
