@@ -196,7 +196,8 @@ def identify(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
             [pa.array(names, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores])),
              pa.array(np.concatenate([np.zeros(0), *rates]))], fields=list(kind))
 
-    return identified(text)
+    # Said to be nondeterministic only to keep the optimizer from running it once per use.
+    return identified.asNondeterministic()(text)
 
 
 def with_language(
