@@ -5,14 +5,16 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.ordering import as_ranked
+from ..operators.ordering import as_ranked, order_by, with_position
 from ..plans.collect import collect
 from ..plans.process import Rules, process
 from ..plans.publish import publish
 from ..schema import LANDED
 from ..session import scratch_path
 from ..sinks.state_store import StateStore
+from ..sources.files import read_mentions
 from ..streaming.logs import ship_logs
 from ..streaming.resume import resume
 from .clean import BLOCKED, DEDUPED, PATTERNED, WORDED
@@ -67,7 +69,8 @@ def process_job_tables(spark, folder):
 
 
 def publish_job(spark, folder):
-    """A run in which everything is done: both exports, the dashboard, and a cleared state."""
+    """A run in which everything is done: the ranked export as read back, in its order, the
+    dashboard links, and a cleared state."""
     landed = Landed(spark, folder)
     everyone = landed.customer.select(F.col("c_name").alias("query")).join(
         stored(landed), "query", "left")
@@ -81,18 +84,14 @@ def publish_job(spark, folder):
     store = StateStore(spark, f"{root}/state")
     out = publish(run, lambda mentions: process(mentions, Rules(), landed.pages), store, root, AT,
                   landed.board)
-    written = spark.read.option("header", True).csv(out["ranked"]).agg(
-        F.count(F.lit(1)).alias("ranked_rows"))
-    left = store.load()[0].agg(F.count(F.lit(1)).alias("state_rows"))
-    board = out["board"].where("trim(key) IN ('raw_csv_link', 'sorted_csv_link')").agg(
-        F.count(F.lit(1)).alias("board_rows"),
-        F.count_if(F.col("value").endswith("csv")).alias("links"))
-    # Three one-row tables side by side.
-    return written.withColumn("k", F.lit("published")).join(
-        left.withColumn("k", F.lit("published")), "k").join(
-        board.withColumn("k", F.lit("published")), "k").select(
-        F.col("k").alias("result"), F.lit(out["complete"]).alias("complete"),
-        "ranked_rows", "state_rows", "board_rows", "links")
+    names = ["Relevance", "Person", "Title", "Date", "Source", "Link"]
+    exported = read_mentions(spark, out["ranked"], T.StructType(
+        [T.StructField(c, T.StringType()) for c in names]))
+    links = out["board"].where("trim(key) IN ('raw_csv_link', 'sorted_csv_link')")
+    return with_position(exported, order_by(["ord"], tie=None)).drop("ord").withColumns({
+        "Relevance": F.col("Relevance").cast("int"), "complete": F.lit(out["complete"]),
+        "state_rows": F.lit(store.load()[0].count()),
+        "board_links": F.lit(links.where(F.col("value").endswith("csv")).count())})
 
 
 def stream_resume(spark, folder):
@@ -197,10 +196,12 @@ ORACLE = {
     "process_job": _processed("few_domains", "few_words", f"NOT {PATTERNED}"),
     "process_job_tables": _processed("domain_rules", "word_rules", f"NOT {PATTERNED}"),
     "publish_job": oracle("""
-        SELECT 'published' AS result, true AS complete,
-               (SELECT count(*) FROM {stored}) AS ranked_rows, CAST(0 AS BIGINT) AS state_rows,
-               (SELECT count(*) + 1 FROM {board} WHERE trim(key) = 'raw_csv_link') AS board_rows,
-               CAST(2 AS BIGINT) AS links"""),
+        SELECT row_number() OVER (ORDER BY query_ord) AS rank, CAST(0 AS INT) AS Relevance,
+               query AS Person, title AS Title, CAST(NULL AS VARCHAR) AS Date,
+               CAST(NULL AS VARCHAR) AS Source, link AS Link, true AS complete,
+               CAST(0 AS INT) AS state_rows,
+               CAST(2 AS INT) AS board_links
+        FROM {stored}"""),
     "stream_resume": oracle("""
         SELECT a.query_ord, a.page, a.try_no, i.pos, a.query AS Person, i.title AS Title,
                coalesce(i.published, '') AS Date,

@@ -11,7 +11,7 @@ from ..operators.state import is_complete
 from ..session import cut_lineage
 from ..sinks import dashboard, files
 from ..sinks.state_store import StateStore
-from ..sources.files import read_mentions
+from ..sources.files import without_missing
 from .collect import Collected
 from .process import without_order
 
@@ -30,7 +30,8 @@ def publish(
     """Save the state, the raw rows and the first query's links; if nothing is pending also the
     ranked table.
 
-    ``rank`` makes the ranked table of the raw mentions, which are read back from their export.
+    ``rank`` makes the ranked table of the raw mentions, which come from the saved state; exports
+    are only written.
     Returns the written paths, whether the run was complete and the new dashboard table.
     """
     spark, root = store.spark, root.rstrip("/")
@@ -43,7 +44,7 @@ def publish(
     out = {"raw": raw, "links": links, "ranked": None, "board": board, "complete": False}
     if not is_complete(saved.queries, saved.completed):
         return out
-    ranked = without_order(cut_lineage(rank(read_mentions(spark, raw))))
+    ranked = without_order(cut_lineage(rank(without_missing(saved.raw))))
     path = files.write_snapshot(ranked, root, "links_sorted.csv", at)
     files.append_results(ranked, f"{root}/results")
     board = board if board is not None else spark.createDataFrame([], BOARD)

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from ..operators.ingest import links_only
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
-    """CSV with doubled quotes, quoted newlines and bare empty cells; row order is kept."""
-    (df.write.mode(mode).option("header", header).option("escape", '"')
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
+              per_file: int = 1_000_000) -> None:
+    """CSV with doubled quotes, quoted newlines and bare empty cells; row order is kept. Quoted
+    newlines make a file readable by one task only, so a file has ``per_file`` rows at most."""
+    (df.write.mode(mode).option("maxRecordsPerFile", per_file).option("header", header).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("emptyValue", "").option("nullValue", "").csv(path))
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from ..schema import COMPLETED, FAILURES
 
 MARKER = "COMPLETE"
+KEPT = 2  # complete versions; older ones are deleted after a save
 
 
 def _files(spark: SparkSession, path: str):
@@ -23,21 +25,25 @@ class StateStore:
     """Completed queries with their items, and failure counts, under one folder.
 
     Readers take the newest complete version, so a job that dies half-way leaves the old one in
-    force. Works on any file system Hadoop knows.
+    force. The one before it is kept too: a new version may be computed from it. Works on any
+    file system Hadoop knows.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
 
-    def version(self) -> int:
+    def _versions(self) -> list[int]:
+        """Numbers of the complete versions, newest first."""
         fs, root = _files(self.spark, self.path)
         if not fs.exists(root):
-            return 0
-        done = [
+            return []
+        return sorted((
             int(entry.getPath().getName()[2:]) for entry in fs.listStatus(root)
             if entry.getPath().getName().startswith("v=")
-            and fs.exists(_child(self.spark, entry.getPath().toString(), MARKER))]
-        return max(done, default=0)
+            and fs.exists(_child(self.spark, entry.getPath().toString(), MARKER))), reverse=True)
+
+    def version(self) -> int:
+        return max(self._versions(), default=0)
 
     def load(self) -> tuple[DataFrame, DataFrame]:
         """Completed and failures; empty tables if there is no state or it cannot be read."""
@@ -46,23 +52,29 @@ class StateStore:
                 self._table(version, "failures", FAILURES))
 
     def _table(self, version: int, name: str, schema) -> DataFrame:
-        fs, _ = _files(self.spark, self.path)
+        """A table of a version. One that cannot be read is empty as a whole, never in part."""
+        empty = self.spark.createDataFrame([], schema)
+        if version == 0:
+            return empty
         path = f"{self.path}/v={version}/{name}"
-        if version == 0 or not fs.exists(_child(self.spark, path, "")):
-            return self.spark.createDataFrame([], schema)
-        lenient = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-        return (
-            self.spark.read.schema(lenient).option("mode", "PERMISSIVE").json(path)
-            .where("query IS NOT NULL").select(*schema.names))
+        try:
+            found = self.spark.read.parquet(path).schema
+        except (PySparkException, Py4JJavaError):
+            return empty
+        return self.spark.read.schema(schema).parquet(path) if set(
+            schema.names) <= set(found.names) else empty
 
     def save(self, completed: DataFrame, failures: DataFrame) -> int:
-        """Write the next version; its marker comes last."""
+        """Write the next version; its marker comes last. Then delete what is older than the last
+        two."""
         version = self.version() + 1
         target = f"{self.path}/v={version}"
-        completed.select("query", "items").write.mode("overwrite").json(f"{target}/completed")
-        failures.select("query", "n").write.mode("overwrite").json(f"{target}/failures")
+        completed.select("query", "items").write.mode("overwrite").parquet(f"{target}/completed")
+        failures.select("query", "n").write.mode("overwrite").parquet(f"{target}/failures")
         fs, _ = _files(self.spark, self.path)
         fs.create(_child(self.spark, target, MARKER), True).close()
+        for old in self._versions()[KEPT:]:
+            fs.delete(_child(self.spark, self.path, f"v={old}"), True)
         return version
 
     def clear(self) -> int:

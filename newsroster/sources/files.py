@@ -72,8 +72,14 @@ def read_ragged_csv(spark: SparkSession, path, schema: T.StructType) -> DataFram
         F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in schema.names])
 
 
-def read_mentions(spark: SparkSession, path) -> DataFrame:
-    """Raw mention CSV with ``ord``, the place of a row in its export.
+def without_missing(rows: DataFrame, schema: T.StructType = RAW) -> DataFrame:
+    """The cells of ``schema`` with missing-value words as null, as a CSV load would give them."""
+    kept = [F.col(f"`{c}`") for c in rows.columns if c not in schema.names]
+    return rows.select(*kept, *[_with_missing(f.name, f.dataType) for f in schema.fields])
+
+
+def read_mentions(spark: SparkSession, path, schema: T.StructType = RAW) -> DataFrame:
+    """Exported CSV with ``ord``, the place of a row in its export.
 
     A quoted newline keeps a file in one task, so ids rise with the lines of a file; part files
     are numbered in row order by the writer.
@@ -82,5 +88,4 @@ def read_mentions(spark: SparkSession, path) -> DataFrame:
     place = F.struct(
         F.coalesce(F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), F.lit(0)).alias("part"),
         name.alias("file"), F.monotonically_increasing_id().alias("row"))
-    return _cells(spark, path, RAW, place.alias("ord")).select(
-        "ord", *[_with_missing(f.name, f.dataType) for f in RAW.fields])
+    return without_missing(_cells(spark, path, schema, place.alias("ord")), schema)

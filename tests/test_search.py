@@ -257,13 +257,18 @@ def test_state_store(spark, tmp_path):
     assert fresh.version() == 1
     fresh.clear()
     assert [t.count() for t in fresh.load()] == [0, 0]
+    # Two complete versions stay, however many runs there are.
+    for _ in range(3):
+        last = fresh.save(item, failures)
+    assert fresh._versions() == [last, last - 1] and fresh.load()[0].count() == 2
+    assert sorted(p.name for p in (tmp_path / "state").iterdir())[-2:] == [f"v={last - 1}", f"v={last}"]
 
 
 def test_corrupt_state_starts_fresh(spark, tmp_path):
     root = tmp_path / "state" / "v=1"
     for name in ("completed", "failures"):
         (root / name).mkdir(parents=True)
-        (root / name / "part.json").write_text("{not valid json")
+        (root / name / "part.parquet").write_text("{not valid json")
     (root / "COMPLETE").write_text("")
     assert [t.count() for t in StateStore(spark, str(tmp_path / "state")).load()] == [0, 0]
 
