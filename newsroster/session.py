@@ -31,7 +31,8 @@ def local_session(cores: str | int = "*", app: str = "newsroster", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Tests, bench and launchers set it. Only where it is unset and the master is local, so that
+    there is one machine, a temporary folder takes its place, one per application.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()

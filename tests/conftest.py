@@ -10,8 +10,9 @@ from newsroster.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "tests", spark__sql__shuffle__partitions="4")
+def spark(tmp_path_factory):
+    session = local_session(8, "tests", spark__sql__shuffle__partitions="4",
+                            spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
