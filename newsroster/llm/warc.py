@@ -80,12 +80,14 @@ def _header(head: Column, name: str) -> Column:
 
 
 def record_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """The bytes between magics, in file order: ``file, block, id, value``.
+    """The bytes between magics, in file order: ``path, file, block, id, value``.
 
-    The text scan cuts large archives into splits, so one file is read by many tasks.
+    The text scan cuts large archives into splits, so one file is read by many tasks. ``file`` is
+    a hash of the path: the small tables that tell true records from others stay small.
     """
     return spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_path").alias("path"),
+        F.xxhash64(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"), "value")
 
@@ -138,7 +140,7 @@ def reachable(edges: DataFrame) -> DataFrame:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives below ``path``.
 
-    Returns ``file, at, type, record_id, target_uri, refers_to, digest, block_bytes, payload``.
+    Returns ``file, type, record_id, target_uri, refers_to, digest, block_bytes, payload``.
     A magic counts as a record only if the chain of record lengths from the start of its file
     leads to it; all others are payload and go back to the record they stand in. Bytes after a
     chain that breaks are left out. An empty folder gives no records.
@@ -170,18 +172,18 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     parts = stored(
         odd.unionByName(homes.join(heads, ["file", "at"], "left_semi").select(
             "file", "id", "at", F.col("at").alias("start"))), "warc-parts")
-    placed = chunks.select("file", "id", "value").join(
+    placed = chunks.select("path", "file", "id", "value").join(
         parts.withColumn("is_part", F.lit(True)), ["file", "id"], "left")
-    whole = placed.where("is_part is null").select("file", "value")
-    joined = placed.where("start is not null").groupBy("file", "start").agg(
+    whole = placed.where("is_part is null").select("path", "value")
+    joined = placed.where("start is not null").groupBy("path", "start").agg(
         F.sort_array(F.collect_list(F.struct("at", "value"))).alias("p")).select(
-        "file", F.array_join(F.transform("p", lambda x: x["value"]), MAGIC).alias("value"))
+        "path", F.array_join(F.transform("p", lambda x: x["value"]), MAGIC).alias("value"))
     head = F.substring_index("value", GAP, 1)
     block = F.substring(F.col("value"), F.length(head) + len(GAP) + 1,
                         F.length("value") - F.length(head) - 2 * len(GAP))
-    parsed = whole.unionByName(joined).select("file", head.alias("head"), block.alias("block"))
+    parsed = whole.unionByName(joined).select("path", head.alias("head"), block.alias("block"))
     return parsed.where(_header(F.col("head"), "WARC-Type").isNotNull()).select(
-        "file", _header(F.col("head"), "WARC-Type").alias("type"),
+        F.col("path").alias("file"), _header(F.col("head"), "WARC-Type").alias("type"),
         _header(F.col("head"), "WARC-Record-ID").alias("record_id"),
         _header(F.col("head"), "WARC-Target-URI").alias("target_uri"),
         _header(F.col("head"), "WARC-Refers-To").alias("refers_to"),
