@@ -16,7 +16,7 @@ from ..session import scratch_path
 from ..sinks.state_store import StateStore
 from ..sources.files import read_mentions
 from ..streaming.logs import ship_logs
-from ..streaming.resume import resume
+from ..streaming.resume import resume, resume_runs
 from .clean import BLOCKED, DEDUPED, PATTERNED, WORDED
 from .enrich import sql_article, sql_text, sql_visible
 from .ingest import LIMITS, STEPS
@@ -40,13 +40,31 @@ def collect_job(spark, folder):
         F.col("ord.pos").alias("item_ord"), "Person", "Title", "Date", "Source", "Link")
 
 
+def _parts(completed, failures):
+    return completed.select(
+        "query", F.lit("completed").alias("part"), F.size("items").cast("long").alias("n")
+    ).unionByName(failures.select(
+        "query", F.lit("failures").alias("part"), F.col("n").cast("long").alias("n")))
+
+
 def collect_state(spark, folder):
     """What the run leaves behind: item counts of completed queries, failure counts of others."""
     run = _collected(Landed(spark, folder))
-    return run.completed.select(
-        "query", F.lit("completed").alias("part"), F.size("items").cast("long").alias("n")
-    ).unionByName(run.failures.select(
-        "query", F.lit("failures").alias("part"), F.col("n").cast("long").alias("n")))
+    return _parts(run.completed, run.failures)
+
+
+def stream_state(spark, folder):
+    """Two runs of the stream into the state leave what one run over all attempts does."""
+    landed = Landed(spark, folder)
+    rows = landed.landed().select(*LANDED.names)
+    root = scratch_path(spark, "stream_state")
+    store = StateStore(spark, f"{root}/state")
+    store.save(stored(landed), landed.failure_counts)
+    for provider in ("google", " SearXNG "):
+        rows.where(F.col("provider") == provider).write.mode("append").parquet(f"{root}/landed")
+        resume_runs(spark, roster_sheet(landed), f"{root}/landed", f"{root}/attempts", store,
+                    f"{root}/checkpoint", **LIMITS)
+    return _parts(*store.load())
 
 
 def _rules(landed):
@@ -116,7 +134,7 @@ def stream_logs(spark, folder):
 QUERIES = {
     "collect_job": collect_job, "collect_state": collect_state, "process_job": process_job,
     "process_job_tables": process_job_tables, "publish_job": publish_job,
-    "stream_resume": stream_resume, "stream_logs": stream_logs,
+    "stream_resume": stream_resume, "stream_state": stream_state, "stream_logs": stream_logs,
 }
 
 # What one collect run must leave, on top of the steps of the ingest section.
@@ -182,17 +200,20 @@ def _processed(domains: str, words: str, allowed: str) -> str:
 
 _OK = "SELECT * FROM {classified} WHERE outcome = 'ok' AND body_kind = 'list'"
 
+_STATE = oracle("""
+        SELECT query, 'completed' AS part, count(*) FILTER (WHERE link <> '' OR title <> '') AS n
+        FROM {exported} GROUP BY query
+        UNION ALL SELECT query, 'failures', CAST(n AS BIGINT) FROM {counts}
+        WHERE query NOT IN (SELECT query FROM {finished})""", **_RUN)
+
 ORACLE = {
     "collect_job": oracle("""
         SELECT coalesce(a.ord, 9223372036854775807) AS row_ord, coalesce(a.pos, 0) AS name_ord,
                CAST(e.item_ord AS INT) AS item_ord, e.query AS Person, e.title AS Title,
                e.published AS Date, e.host AS Source, e.link AS Link
         FROM {exported} e LEFT JOIN {asked} a ON a.query = e.query""", **_RUN),
-    "collect_state": oracle("""
-        SELECT query, 'completed' AS part, count(*) FILTER (WHERE link <> '' OR title <> '') AS n
-        FROM {exported} GROUP BY query
-        UNION ALL SELECT query, 'failures', CAST(n AS BIGINT) FROM {counts}
-        WHERE query NOT IN (SELECT query FROM {finished})""", **_RUN),
+    "collect_state": _STATE,
+    "stream_state": _STATE,
     "process_job": _processed("few_domains", "few_words", f"NOT {PATTERNED}"),
     "process_job_tables": _processed("domain_rules", "word_rules", f"NOT {PATTERNED}"),
     "publish_job": oracle("""

@@ -64,15 +64,23 @@ class StateStore:
         return self.spark.read.schema(schema).parquet(path) if set(
             schema.names) <= set(found.names) else empty
 
-    def save(self, completed: DataFrame, failures: DataFrame) -> int:
-        """Write the next version; its marker comes last. Then delete what is older than the last
-        two."""
+    def note(self) -> str:
+        """What the newest version was saved with."""
+        version = self.version()
+        line = self.spark.read.text(f"{self.path}/v={version}/{MARKER}").first() if version else None
+        return line[0] if line else ""
+
+    def save(self, completed: DataFrame, failures: DataFrame, note: str = "") -> int:
+        """Write the next version; its marker, which holds ``note``, comes last. Then delete what
+        is older than the last two."""
         version = self.version() + 1
         target = f"{self.path}/v={version}"
         completed.select("query", "items").write.mode("overwrite").parquet(f"{target}/completed")
         failures.select("query", "n").write.mode("overwrite").parquet(f"{target}/failures")
         fs, _ = _files(self.spark, self.path)
-        fs.create(_child(self.spark, target, MARKER), True).close()
+        marker = fs.create(_child(self.spark, target, MARKER), True)
+        marker.writeBytes(note)
+        marker.close()
         for old in self._versions()[KEPT:]:
             fs.delete(_child(self.spark, self.path, f"v={old}"), True)
         return version

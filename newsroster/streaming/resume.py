@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import ingest
+from ..plans.collect import collect
 from ..schema import LANDED
+from ..sinks.state_store import StateStore
 from ..sources.payloads import explode_items, with_items
 
 
@@ -40,3 +42,35 @@ def resume(
         .trigger(availableNow=True).start())
     query.awaitTermination()
     return query
+
+
+def resume_runs(
+    spark: SparkSession, roster: DataFrame, landed_path: str, attempts_path: str,
+    store: StateStore, checkpoint: str, file_format: str = "parquet", **options,
+):
+    """Collect runs as a stream into the resume state: each batch of landed files is one run.
+
+    A batch is added to the attempts seen so far, and the queries it touches go through
+    ``collect`` (which takes ``options``) with all their attempts. So stops, quota, retries and
+    give-ups hold as in the batch job, a query whose pages come in over several days is done
+    when the last is there, and a batch that brings nothing for a query does not count its
+    failure again. A batch that is run again after a crash is recognized by the note in the state
+    and applied once.
+    """
+    def take(batch: DataFrame, batch_id: int) -> None:
+        added = f"{attempts_path}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(added)
+        source, _, last = store.note().rpartition(" ")
+        if source == checkpoint and int(last) >= batch_id:
+            return
+        touched = spark.read.schema(LANDED).parquet(added).select("query").distinct()
+        attempts = spark.read.schema(LANDED).parquet(attempts_path).select(*LANDED.names)
+        run = collect(roster, attempts.join(touched, "query", "left_semi"), *store.load(), **options)
+        store.save(run.completed, run.failures, f"{checkpoint} {batch_id}")
+
+    query = (
+        spark.readStream.schema(LANDED).format(file_format).load(landed_path)
+        .writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query

@@ -16,7 +16,7 @@ def plan(spark, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {
-    "stream_resume", "stream_logs", "publish_job", "state_store", "append_results"}))
+    "stream_resume", "stream_state", "stream_logs", "publish_job", "state_store", "append_results"}))
 def test_no_single_task_window_no_cross_join_no_row_udf(spark, name):
     text = plan(spark, name)
     assert "BatchEvalPython" not in text

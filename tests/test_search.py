@@ -17,7 +17,7 @@ from newsroster.sources import rules as rule_lists
 from newsroster.sources.files import read_csv, read_mentions, read_ragged_csv
 from newsroster.sources.payloads import with_items
 from newsroster.streaming.logs import ship_logs
-from newsroster.streaming.resume import resume
+from newsroster.streaming.resume import resume, resume_runs
 
 TODAY = date(2024, 6, 30)
 
@@ -350,6 +350,28 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert sorted(r["Link"] for r in rows) == ["x", "y", "z"]
 
 
+def test_stream_into_the_state(spark, tmp_path):
+    path, seen, check = (str(tmp_path / n) for n in ("landed", "attempts", "check"))
+    store = StateStore(spark, str(tmp_path / "state"))
+    people = roster(spark, ("", "a", "", ""), ("", "b", "", ""), ("", "c", "", ""))
+
+    def run(*rows):
+        if rows:
+            landed(spark, *rows).coalesce(1).write.mode("append").parquet(path)
+        resume_runs(spark, people, path, seen, store, check, max_results=20)
+        completed, failures = store.load()
+        return ({r["query"]: [i["link"] for i in r["items"]] for r in completed.collect()},
+                {r["query"]: r["n"] for r in failures.collect()})
+
+    bad = [attempt("b", 1, "", 500, t) for t in (1, 2, 3)]
+    assert run(attempt("a", 1, {"items": [hit("x")]}), attempt("c", 1, "", 429), *bad) == ({}, {"b": 1})
+    # The second page of a and a new run of c; b brings nothing new and counts no failure again.
+    two = run(attempt("a", 2, {"items": [hit("y")]}, run=2),
+              *[attempt("c", p, {"items": [hit(f"z{p}")]}, run=2) for p in (1, 2)])
+    assert two == ({"a": ["x", "y"], "c": ["z1", "z2"]}, {"b": 1})
+    assert run() == two
+
+
 def test_log_stream(spark, tmp_path):
     path, out, check = (str(tmp_path / n) for n in ("records", "log", "check"))
     rows = [(1, datetime(2024, 1, 1, 10), "INFO", "main", "a"), (2, datetime(2024, 1, 1, 11), "INFO", "google.auth", "b"),
