@@ -131,7 +131,7 @@ def new_depth(previous: str, token: str) -> int:
     return most
 
 
-def slices(sizes, most_chars: int = 1_000_000):
+def slices(sizes, most_chars: int = 500_000):
     """Ranges of neighbouring rows with at most ``most_chars`` characters, or one row."""
     begin, total = 0, 0
     for k, n in enumerate(sizes):

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .pieces import TokenNumbers, Vocabulary, new_depth, slices
 from .workers import worker_state
 
-MOST_NODES = 300_000  # lattice nodes that a worker remembers between batches
+MOST_NODES = 150_000  # lattice nodes that a worker remembers between batches
 LONG = 64  # longer pre-tokens share no prefixes, so that their scores can be rescaled
 TINY, SCALE = 1e-200, 1e200
 
@@ -177,8 +177,8 @@ def encode(spark: SparkSession, key: Column, text: Column, temper: float = 1.0,
     ``key`` (a long; null counts as 0), the place of the pre-token and nothing else: the same row
     gives the same pieces in any partitioning and on any retry.
 
-    Tasks work on slices of 1 million characters, or one longer text; a worker keeps at most
-    300,000 lattice nodes between slices. No shuffle.
+    Tasks work on slices of 500,000 characters, or one longer text; a worker keeps at most
+    150,000 lattice nodes between slices. No shuffle.
     """
     shared, run = spark.sparkContext.broadcast(Vocabulary.load(model_path)), uuid.uuid4().hex
 

@@ -76,7 +76,7 @@ def token_count(spark: SparkSession, text: Column, model_path: str | None = None
 
     Pieces and probabilities are those of :class:`Vocabulary` (by default the public 32k model;
     the file is read on the driver). Each task collects the distinct pre-tokens of a slice of its
-    rows (1 million characters, or one longer text), walks them in sorted order as a trie, and
+    rows (500,000 characters, or one longer text), walks them in sorted order as a trie, and
     adds up the counts stored at their ends. It keeps the counts of at most
     150,000 of them for later slices.
     No shuffle, and rows do not depend on each other: ties, repeated rows and hot keys change
