@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import chat, language, sampled_pieces, secrets, token_counts, warc
+from . import chat, codebooks, language, sampled_pieces, secrets, token_counts, warc
 from .common import table
 from .exact_dedup import exact_duplicates
 from .jaccard_join import near_duplicates
@@ -74,6 +74,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_token_counts(docs).drop("text")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = codebooks.quantize(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+    return codebooks.digest(rows, books)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
+    "op11_vector_codes": op11_vector_codes,
 }
 
 OP4_SQL = """
@@ -198,10 +204,60 @@ FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) m USING (doc_id)
 """
 
+
+
+def _op11_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds of assignment and integer means, unrolled; brute force over all entries."""
+    steps = [f"""
+kept0 AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, embedding,
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS ints
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND abs(CAST(x AS DOUBLE)) <= 4096))),
+dim AS (SELECT len(ints) AS d FROM kept0 ORDER BY vec_id NULLS LAST, ints LIMIT 1),
+kept AS (SELECT k.* FROM kept0 k, dim WHERE len(k.ints) = d AND d > 0 AND d % {parts} = 0),
+cells AS (
+  SELECT rid, (i - 1) // (len(ints) // {parts}) AS part, (i - 1) % (len(ints) // {parts}) AS pos, ints[i] AS v
+  FROM kept, unnest(range(1, len(ints) + 1)) AS t(i)),
+first AS (
+  SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, ints) - 1 AS entry FROM kept
+  ORDER BY vec_id NULLS LAST, ints LIMIT {entries}),
+cb0 AS (SELECT c.part, f.entry, c.pos, c.v FROM first f JOIN cells c USING (rid))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+d{r} AS (
+  SELECT c.rid, c.part, e.entry, sum((c.v - e.v) * (c.v - e.v)) AS dist
+  FROM cells c JOIN cb{r} e ON c.part = e.part AND c.pos = e.pos GROUP BY ALL),
+a{r} AS (
+  SELECT rid, part, entry, dist FROM (
+    SELECT *, row_number() OVER (PARTITION BY rid, part ORDER BY dist, entry) AS k FROM d{r}) WHERE k = 1)""")
+        if r < rounds:
+            steps.append(f"""
+cb{r + 1} AS (
+  SELECT a.part, a.entry, c.pos, CAST(floor(CAST(sum(c.v) AS DOUBLE) / count(*)) AS BIGINT) AS v
+  FROM a{r} a JOIN cells c ON a.rid = c.rid AND a.part = c.part GROUP BY ALL
+  UNION ALL
+  SELECT * FROM cb{r} e WHERE NOT EXISTS (
+    SELECT 1 FROM a{r} a WHERE a.part = e.part AND a.entry = e.entry))""")
+    return "WITH" + ",".join(steps) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(coalesce(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos), ''))
+        FROM cb{rounds}) AS codebooks_sha256
+FROM (
+  SELECT k.vec_id, k.label, string_agg(printf('%02x', a.entry), '' ORDER BY a.part) AS code,
+         CAST(sum(a.dist) AS BIGINT) AS error
+  FROM a{rounds} a JOIN kept k USING (rid) GROUP BY a.rid, k.vec_id, k.label)
+"""
+
+
+OP11_SQL = _op11_sql()
+
 ORACLE = {
     "op3_chat_formatting": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op7_warc": OP7_SQL,
     "op8_mixing": OP8_SQL,
     "op9_jaccard_join": OP9_SQL,
+    "op11_vector_codes": OP11_SQL,
 }
