@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import chat, codebooks, language, sampled_pieces, secrets, token_counts, warc
+from . import chat, codebooks, language, packing, sampled_pieces, secrets, token_counts, warc
 from .common import table
 from .exact_dedup import exact_duplicates
 from .jaccard_join import near_duplicates
@@ -79,6 +79,15 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codebooks.digest(rows, books)
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), window=1024, end_id=0)
+    return packing.pack(pieces.drop("ids"), window=1024).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
@@ -91,6 +100,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
     "op11_vector_codes": op11_vector_codes,
+    "op13_packing": op13_packing,
 }
 
 OP4_SQL = """
