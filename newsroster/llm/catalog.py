@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import chat, codebooks, language, packing, sampled_pieces, secrets, token_counts, warc
+from . import chat, codebooks, language, packing, prefix_trie, sampled_pieces, secrets, token_counts, warc
 from .common import table
 from .exact_dedup import exact_duplicates
 from .jaccard_join import near_duplicates
@@ -79,6 +79,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codebooks.digest(rows, books)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), mod=5, heads=9)
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -100,6 +104,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
     "op11_vector_codes": op11_vector_codes,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_packing": op13_packing,
 }
 
@@ -262,6 +267,48 @@ FROM (
 
 
 OP11_SQL = _op11_sql()
+# CRC-32 (reflected polynomial 0xEDB88320) of the decimal id, one bit per step.
+OP12_SQL = r"""
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+crc(conv_id, s, k, v) AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM ids
+  UNION ALL
+  SELECT conv_id, s, k + 1,
+         CASE WHEN (x & 1) = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END
+  FROM (SELECT conv_id, s, k, CASE WHEN k % 8 = 0 THEN xor(v, CAST(ascii(s[k // 8 + 1]) AS BIGINT)) ELSE v END AS x
+        FROM crc WHERE k < 8 * length(s))),
+h AS (SELECT conv_id, xor(v, CAST(4294967295 AS BIGINT)) % 9 AS h FROM crc WHERE k = 8 * length(s)),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+      FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS turns
+      FROM t GROUP BY conv_id),
+r AS (
+  SELECT o.conv_id AS c,
+         list_concat(CASE WHEN b.turns IS NULL THEN list_slice(o.turns, 1, 0) ELSE list_slice(b.turns, 1, h.h) END,
+                     CASE WHEN len(o.turns) > h.h THEN list_slice(o.turns, h.h + 1, len(o.turns))
+                          ELSE list_slice(o.turns, 1, 0) END) AS seq
+  FROM o JOIN h USING (conv_id) LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 5),
+p AS (SELECT c, d, len(seq) AS l, list_slice(seq, 1, d) AS key FROM r, unnest(range(0, len(seq) + 1)) AS u(d)),
+n AS (
+  SELECT key, any_value(d) AS d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = l), '')) AS ends_sha256
+  FROM p GROUP BY key),
+ch AS (SELECT list_slice(key, 1, d - 1) AS pkey, count(*) AS k FROM n WHERE d > 0 GROUP BY 1),
+n2 AS (
+  SELECT n.*, coalesce(ch.k, 0) AS n_children,
+         CASE WHEN n.d = 0 THEN 0 ELSE strlen(n.key[n.d].text) END AS bytes
+  FROM n LEFT JOIN ch ON ch.pkey = n.key),
+anc AS (SELECT list_slice(key, 1, a) AS akey, n_children, n_convs, bytes
+        FROM n2, unnest(range(0, d + 1)) AS u(a)),
+sub AS (
+  SELECT akey, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum((n_convs - 1) * bytes) AS saved FROM anc GROUP BY akey)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, pn.conv_id AS parent_conv_id, x.n_convs,
+       CAST(x.n_children AS BIGINT) AS n_children, CAST(sub.n_leaves AS BIGINT) AS n_leaves,
+       CAST(sub.saved AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM n2 x JOIN sub ON sub.akey = x.key
+LEFT JOIN n2 pn ON x.d > 0 AND pn.key = list_slice(x.key, 1, x.d - 1)
+"""
 
 ORACLE = {
     "op3_chat_formatting": OP3_SQL,
@@ -270,4 +317,5 @@ ORACLE = {
     "op8_mixing": OP8_SQL,
     "op9_jaccard_join": OP9_SQL,
     "op11_vector_codes": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
