@@ -13,10 +13,11 @@ from ..plans.process import Rules, process
 from ..plans.publish import publish
 from ..schema import LANDED
 from ..session import scratch_path
+from ..sinks.delta_state import DeltaState
 from ..sinks.state_store import StateStore
 from ..sources.files import read_mentions
 from ..streaming.logs import ship_logs
-from ..streaming.resume import resume, resume_runs
+from ..streaming.resume import resume, resume_delta, resume_runs
 from .clean import BLOCKED, DEDUPED, PATTERNED, WORDED
 from .enrich import sql_article, sql_text, sql_visible
 from .ingest import LIMITS, STEPS
@@ -67,6 +68,21 @@ def stream_state(spark, folder):
     return _parts(*store.load())
 
 
+def stream_delta_state(spark, folder):
+    """The same two runs into delta state: each batch writes what it changed, failures count once per run."""
+    landed = Landed(spark, folder)
+    rows = landed.landed().select(*LANDED.names)
+    root = scratch_path(spark, "stream_delta")
+    state = DeltaState(spark, f"{root}/state", buckets=16)
+    state.seed(stored(landed), landed.failure_counts)
+    for provider in ("google", " SearXNG "):
+        rows.where(F.col("provider") == provider).write.mode("append").parquet(f"{root}/landed")
+        resume_delta(spark, roster_sheet(landed), f"{root}/landed", state, f"{root}/checkpoint", **LIMITS)
+    completed = state.table("completed")
+    open_failures = state.failures(state.table("ledger")).join(completed, "query", "left_anti")
+    return _parts(completed, open_failures)
+
+
 def _rules(landed):
     return Rules(*[landed.listed(f"few_{kind}") for kind in ("domains", "words", "patterns")],
                  landed.rename_rules)
@@ -135,6 +151,7 @@ QUERIES = {
     "collect_job": collect_job, "collect_state": collect_state, "process_job": process_job,
     "process_job_tables": process_job_tables, "publish_job": publish_job,
     "stream_resume": stream_resume, "stream_state": stream_state, "stream_logs": stream_logs,
+    "stream_delta_state": stream_delta_state,
 }
 
 # What one collect run must leave, on top of the steps of the ingest section.
@@ -214,6 +231,7 @@ ORACLE = {
         FROM {exported} e LEFT JOIN {asked} a ON a.query = e.query""", **_RUN),
     "collect_state": _STATE,
     "stream_state": _STATE,
+    "stream_delta_state": _STATE,
     "process_job": _processed("few_domains", "few_words", f"NOT {PATTERNED}"),
     "process_job_tables": _processed("domain_rules", "word_rules", f"NOT {PATTERNED}"),
     "publish_job": oracle("""

@@ -17,6 +17,9 @@ class Collected:
     queries: DataFrame
     completed: DataFrame
     failures: DataFrame
+    #: with a ledger: the queries finished by this run, and the ledger of failed runs after it
+    done: DataFrame | None = None
+    ledger: DataFrame | None = None
 
     @property
     def raw(self) -> DataFrame:
@@ -39,11 +42,12 @@ class Collected:
 
 def query_pages(
     landed: DataFrame, max_results: int | None = planning.MAX_RESULTS,
-    tries: int = ingest.TRIES, meta_pages: int = planning.META_PAGES,
+    tries: int = ingest.TRIES, meta_pages: int = planning.META_PAGES, with_run: bool = False,
 ) -> DataFrame:
-    """Landed attempts to the pages of each query up to its first stop."""
+    """Landed attempts to the pages of each query up to its first stop; ``with_run`` keeps the run
+    of the attempt that decided each page."""
     attempts = ingest.classify_attempts(with_items(landed))
-    pages = ingest.page_outcome(attempts, ["provider", "items"], tries)
+    pages = ingest.page_outcome(attempts, ["provider", "items", *(["run"] if with_run else [])], tries)
     return ingest.partial_results(ingest.stop_reason(pages), max_results, meta_pages)
 
 
@@ -65,16 +69,19 @@ def query_outcomes(pages: DataFrame, max_results: int | None) -> DataFrame:
             & (F.array_position(b["links"], h["link"]) == i + 1)))
 
     lists = F.collect_list(F.when(F.col("usable"), F.struct("page", "items")))
+    failed_run = [F.max(F.when(F.col("stop") == "failure", F.coalesce("run", F.lit(0)))).alias("failed_run")] \
+        if "run" in pages.columns else []
     grouped = pages.groupBy("query").agg(
         F.max("status").alias("status"), F.bool_or(is_meta(F.col("provider"))).alias("meta"),
-        F.array_sort(lists, by_page).alias("lists"))
+        F.array_sort(lists, by_page).alias("lists"), *failed_run)
     hits = F.flatten(F.transform("lists", lambda p: p["items"]))
     kept = F.when(F.col("meta"), unique(F.col("hits"))).otherwise(F.col("hits"))
     if max_results is not None:
         kept = F.slice(kept, F.lit(1), F.lit(max_results))
+    runs = ["failed_run"] if failed_run else []
     return (
-        grouped.select("query", "status", "meta", hits.alias("hits"))
-        .select("query", "status", kept.alias("items")))
+        grouped.select("query", "status", "meta", hits.alias("hits"), *runs)
+        .select("query", "status", kept.alias("items"), *runs))
 
 
 def collect(
@@ -82,9 +89,15 @@ def collect(
     optional: bool = False, spellings: bool = False,
     max_results: int | None = planning.MAX_RESULTS, give_up_after: int = state.GIVE_UP_AFTER,
     tries: int = ingest.TRIES, meta_pages: int = planning.META_PAGES,
+    ledger: DataFrame | None = None,
 ) -> Collected:
     """One run over the attempts that landed for pending queries.
 
+    With a ``ledger`` (query, run) of failed runs, ``failures`` is ignored: a failed query adds the
+    run of the attempts that failed its page, and its count is the number of distinct runs. A failure
+    that a later run sees again in the same attempts (because it collects with the query's whole
+    history) is then the same entry and is not counted twice.
+
     A failed query counts one failure and is retried by a later run until it is given up with an
     empty result. Quota leaves a query pending, and so does a query whose pages have not all
     landed yet: hand its earlier pages in again with the later ones. If no results are wanted
@@ -97,14 +110,25 @@ def collect(
     pending = state.pending_queries(queries, completed)
     asked = landed.join(pending.select("query"), "query", "left_semi")
     nothing = F.array().cast(completed.schema["items"].dataType)
+    with_run = ledger is not None
     if max_results == 0:
         outcomes = pending.select("query", F.lit("done").alias("status"), nothing.alias("items"))
+        if with_run:
+            outcomes = outcomes.withColumn("failed_run", F.lit(None).cast("int"))
     else:
-        outcomes = query_outcomes(query_pages(asked, max_results, tries, meta_pages), max_results)
+        outcomes = query_outcomes(query_pages(asked, max_results, tries, meta_pages, with_run), max_results)
+    failed = F.coalesce(F.col("status") == "failed", F.lit(False))
+    if with_run:
+        ledger = ledger.select("query", F.col("run").cast("int")).unionByName(
+            outcomes.where(failed).select("query", F.coalesce("failed_run", F.lit(0)).cast("int").alias("run"))
+        ).distinct()
+        failures = ledger.groupBy("query").agg(F.count(F.lit(1)).cast("int").alias("n"))
+        ledger = cut_lineage(ledger)
+        outcomes = outcomes.drop("failed_run")
     run = outcomes.join(
         failures.withColumnRenamed("n", "before"), "query", "full")
-    failed = F.coalesce(F.col("status") == "failed", F.lit(False))
-    counted = cut_lineage(run.withColumn("n", F.coalesce("before", F.lit(0)) + failed.cast("int")))
+    counted = cut_lineage(run.withColumn("n", F.coalesce("before", F.lit(0)) + (
+        F.lit(0) if with_run else failed.cast("int"))))
     given_up = failed & (F.col("n") >= give_up_after)
     finished = given_up | F.coalesce(F.col("status") == "done", F.lit(False))
     done = counted.where(finished).select(
@@ -112,7 +136,7 @@ def collect(
     # Pending and completed queries are disjoint, so the upsert is a union.
     completed = completed.select("query", "items").unionByName(done)
     failures = counted.where(~finished & (F.col("n") > 0)).select("query", "n")
-    return Collected(queries, completed, failures)
+    return Collected(queries, completed, failures, done if with_run else None, ledger)
 
 
 def raw_rows(completed: DataFrame) -> DataFrame:

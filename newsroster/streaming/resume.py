@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import ingest
 from ..plans.collect import collect
 from ..schema import LANDED
+from ..sinks.delta_state import DeltaState, bucket_of
 from ..sinks.state_store import StateStore
 from ..sources.payloads import explode_items, with_items
 
@@ -74,3 +75,44 @@ def resume_runs(
         .trigger(availableNow=True).start())
     query.awaitTermination()
     return query
+
+
+def resume_delta(
+    spark: SparkSession, roster: DataFrame, landed_path: str, state: DeltaState, checkpoint: str,
+    file_format: str = "parquet", compact_every: int | None = None, **options,
+):
+    """Collect runs as a stream into delta state: each batch of landed files is one run.
+
+    A batch stores its attempts by query bucket, reads the history, completed queries and failure
+    ledger of the buckets it touches only, collects the queries it touches, and writes just what
+    changed: newly finished queries and new ledger entries. Failures are counted once per run that
+    had them (attempts without a run count as run ``batch_id``), so a failure that stays in the
+    history is not counted again by later batches. A batch run again after a crash finds its
+    commit and does nothing, or, without one, overwrites its folders. ``compact_every`` merges the
+    deltas into a base after so many batches.
+    """
+    def take(batch: DataFrame, batch_id: int) -> None:
+        if batch_id in state.committed():
+            return
+        attempts = batch.select(*LANDED.names).withColumn(
+            "run", F.coalesce("run", F.lit(batch_id)).cast("int"))
+        attempts.withColumn("bucket", bucket_of(F.col("query"), state.buckets)).repartition("bucket") \
+            .write.mode("overwrite").partitionBy("bucket").parquet(f"{state.path}/attempts/batch={batch_id}")
+        fresh = spark.read.parquet(f"{state.path}/attempts/batch={batch_id}")
+        touched = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets`` rows
+        queries = fresh.select("query").distinct()
+        history = state.table("attempts", touched, also=batch_id).join(queries, "query", "left_semi")
+        completed = state.table("completed", touched).join(queries, "query", "left_semi")
+        ledger = state.table("ledger", touched).join(queries, "query", "left_semi")
+        run = collect(roster, history, completed, state.failures(ledger), ledger=ledger, **options)
+        new_entries = run.ledger.join(ledger, ["query", "run"], "left_anti")
+        state.write(batch_id, completed=run.done, ledger=new_entries)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            state.compact()
+
+    query = (
+        spark.readStream.schema(LANDED).format(file_format).load(landed_path)
+        .writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
