@@ -87,7 +87,9 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), window=1024, end_id=0)
+    pieces = packing.token_pieces(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), window=1024, end_id=0, with_ids=False,
+        ranks=(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
     return packing.pack(pieces.drop("ids"), window=1024).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 

@@ -54,3 +54,12 @@ def test_pieces_round_trip_and_windows(spark, docs):
 def test_empty_table(spark, docs):
     empty = docs((1, "x")).limit(0)
     assert packing.pack(packing.token_pieces(empty, PATH)).count() == 0
+
+
+def test_ranks_give_the_ids_of_the_tokenizer(spark, docs):
+    texts = ["Hello world", "", "  lead and trail  ", "a\r\n\tb", "<|endoftext|> stays text", "ü漢字😀 é́",
+             "token " * 3000, "x" * 20000, "1234567 numbers, 3.14!"]
+    df = docs(*[(i, t) for i, t in enumerate(texts)])
+    both = [packing.token_pieces(df, PATH, window=100, ranks=ranks).orderBy("doc_id", "start").collect()
+            for ranks in (None, (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))]
+    assert [tuple(r) for r in both[0]] == [tuple(r) for r in both[1]]
