@@ -41,6 +41,14 @@ def collect_job(spark, folder):
         F.col("ord.pos").alias("item_ord"), "Person", "Title", "Date", "Source", "Link")
 
 
+def collect_plan(spark, folder):
+    """The next run's pages under a budget of 50 calls: what the day's job asks for next."""
+    landed = Landed(spark, folder)
+    run = collect(roster_sheet(landed), landed.landed(), stored(landed), landed.failure_counts,
+                  budget=50, **LIMITS)
+    return run.plan
+
+
 def _parts(completed, failures):
     return completed.select(
         "query", F.lit("completed").alias("part"), F.size("items").cast("long").alias("n")
@@ -151,7 +159,7 @@ QUERIES = {
     "collect_job": collect_job, "collect_state": collect_state, "process_job": process_job,
     "process_job_tables": process_job_tables, "publish_job": publish_job,
     "stream_resume": stream_resume, "stream_state": stream_state, "stream_logs": stream_logs,
-    "stream_delta_state": stream_delta_state,
+    "stream_delta_state": stream_delta_state, "collect_plan": collect_plan,
 }
 
 # What one collect run must leave, on top of the steps of the ingest section.
@@ -232,6 +240,18 @@ ORACLE = {
     "collect_state": _STATE,
     "stream_state": _STATE,
     "stream_delta_state": _STATE,
+    "collect_plan": oracle("""
+        SELECT query, ord, pos, CAST(page AS INT) AS page, CAST((page - 1) * 10 + 1 AS INT) AS start,
+               CAST(10 AS INT) AS num
+        FROM {budgeted}, unnest(range(next, 3)) AS t(page) WHERE so_far <= 50""", **_RUN, pend="""
+        SELECT query, ord, pos FROM {asked}
+        WHERE query NOT IN (SELECT query FROM {stored}) AND query NOT IN (SELECT query FROM {finished})""",
+        nxt="""
+        SELECT query, count(*) FILTER (WHERE stop IS NULL) + 1 AS next FROM {asked_pages}
+        WHERE query IN (SELECT query FROM {waiting}) GROUP BY query""", budgeted="""
+        SELECT *, sum(calls) OVER (ORDER BY ord, pos ROWS UNBOUNDED PRECEDING) AS so_far FROM (
+            SELECT p.*, coalesce(n.next, 1) AS next, 3 - coalesce(n.next, 1) AS calls
+            FROM {pend} p LEFT JOIN {nxt} n USING (query)) WHERE calls > 0"""),
     "process_job": _processed("few_domains", "few_words", f"NOT {PATTERNED}"),
     "process_job_tables": _processed("domain_rules", "word_rules", f"NOT {PATTERNED}"),
     "publish_job": oracle("""

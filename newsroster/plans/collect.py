@@ -20,6 +20,8 @@ class Collected:
     #: with a ledger: the queries finished by this run, and the ledger of failed runs after it
     done: DataFrame | None = None
     ledger: DataFrame | None = None
+    #: with a budget: the next run's work list, one row per page to ask for
+    plan: DataFrame | None = None
 
     @property
     def raw(self) -> DataFrame:
@@ -89,7 +91,7 @@ def collect(
     optional: bool = False, spellings: bool = False,
     max_results: int | None = planning.MAX_RESULTS, give_up_after: int = state.GIVE_UP_AFTER,
     tries: int = ingest.TRIES, meta_pages: int = planning.META_PAGES,
-    ledger: DataFrame | None = None,
+    ledger: DataFrame | None = None, budget: int | None = None,
 ) -> Collected:
     """One run over the attempts that landed for pending queries.
 
@@ -98,6 +100,8 @@ def collect(
     that a later run sees again in the same attempts (because it collects with the query's whole
     history) is then the same entry and is not counted twice.
 
+    With a ``budget`` of calls, ``plan`` is the work list of the next run (see ``next_pages``).
+
     A failed query counts one failure and is retried by a later run until it is given up with an
     empty result. Quota leaves a query pending, and so does a query whose pages have not all
     landed yet: hand its earlier pages in again with the later ones. If no results are wanted
@@ -116,7 +120,8 @@ def collect(
         if with_run:
             outcomes = outcomes.withColumn("failed_run", F.lit(None).cast("int"))
     else:
-        outcomes = query_outcomes(query_pages(asked, max_results, tries, meta_pages, with_run), max_results)
+        pages = query_pages(asked, max_results, tries, meta_pages, with_run)
+        outcomes = query_outcomes(pages, max_results)
     failed = F.coalesce(F.col("status") == "failed", F.lit(False))
     if with_run:
         ledger = ledger.select("query", F.col("run").cast("int")).unionByName(
@@ -136,7 +141,38 @@ def collect(
     # Pending and completed queries are disjoint, so the upsert is a union.
     completed = completed.select("query", "items").unionByName(done)
     failures = counted.where(~finished & (F.col("n") > 0)).select("query", "n")
-    return Collected(queries, completed, failures, done if with_run else None, ledger)
+    plan = None
+    if budget is not None and max_results:  # with no results wanted (0) nothing is left to ask
+        plan = next_pages(state.pending_queries(queries, completed), pages, max_results, meta_pages, budget)
+    return Collected(queries, completed, failures, done if with_run else None, ledger, plan)
+
+
+def next_pages(
+    pending: DataFrame, pages: DataFrame, max_results: int, meta_pages: int, budget: int,
+) -> DataFrame:
+    """Pages the next run asks for: (query, ord, pos, page, start, num).
+
+    A pending query goes on at its first page without results in hand (a failed, open, quota or
+    missing page is asked again; the pages before it are kept in the landed attempts) up to the
+    last page of the plan (``meta_pages`` in the meta dialect). Queries take their turn in roster
+    order, and the leading ones whose calls all fit the ``budget`` are in the plan. The running
+    sum of calls is a distributed running total, not a single task.
+    """
+    planned = -(-max_results // planning.PAGE_SIZE)
+    read = pages.groupBy("query").agg(
+        (F.count(F.when(F.col("stop").isNull(), 1)) + 1).alias("next"),
+        F.bool_or(is_meta(F.col("provider"))).alias("meta"))
+    last = F.when(F.coalesce("meta", F.lit(False)), F.lit(meta_pages)).otherwise(F.lit(planned))
+    todo = pending.join(read, "query", "left").select(
+        "query", "ord", "pos", F.coalesce("next", F.lit(1)).alias("next"), last.alias("last"))
+    todo = todo.withColumn("calls", F.greatest(F.col("last") - F.col("next") + 1, F.lit(0))).where("calls > 0")
+    chosen = planning.within_budget(todo, ["ord", "pos"], "calls", budget)
+    return chosen.select(
+        "query", "ord", "pos", F.explode(F.sequence("next", "last")).alias("page")
+    ).select("query", "ord", "pos", F.col("page").cast("int").alias("page"),
+             ((F.col("page") - 1) * planning.PAGE_SIZE + 1).cast("int").alias("start"),
+             F.least(F.lit(planning.PAGE_SIZE),
+                     F.lit(max_results) - (F.col("page") - 1) * planning.PAGE_SIZE).cast("int").alias("num"))
 
 
 def raw_rows(completed: DataFrame) -> DataFrame:
