@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from dataclasses import dataclass
 
@@ -16,7 +15,9 @@ from .workers import worker_state
 
 ORDER = 3  # bytes of context at most
 PAD = b"\n" * ORDER  # context before the first byte
-LETTER = re.compile(r"[^\W\d_]")
+def has_letter(text: str) -> bool:
+    """A letter is a character of Unicode category L (``str.isalpha``); numbers such as ½, ² or Ⅷ are not."""
+    return any(ch.isalpha() for ch in text)
 UNKNOWN = "und"
 
 
@@ -180,7 +181,7 @@ def identify(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
         names, scores, rates = [], [], []
         for begin, end in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
             part = texts.slice(begin, end - begin).to_pylist()
-            known = np.array([bool(languages and t and LETTER.search(t)) for t in part])
+            known = np.array([bool(languages and t and has_letter(t)) for t in part])
             raw = [t.encode("utf-8", "replace") if ok else b"" for t, ok in zip(part, known)]
             if not languages:
                 bits = np.zeros((len(part), 1))

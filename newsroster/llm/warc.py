@@ -206,9 +206,10 @@ def digest(records: DataFrame) -> DataFrame:
         F.when(F.col("type") == "response", F.sha2("payload", 256)).otherwise(
             F.regexp_replace("digest", "^sha256:", "")).alias("payload_digest")), "warc-read")
     responses = small.where("type = 'response'")
-    referred = responses.groupBy(F.col("record_id").alias("refers_to")).agg(
+    # a revisit takes the bytes of the response it names with its own digest: ids may repeat
+    referred = responses.groupBy(F.col("record_id").alias("refers_to"), "payload_digest").agg(
         F.max("payload_bytes").alias("full_bytes"))
-    revisits = small.where("type = 'revisit'").join(referred, "refers_to", "left").withColumn(
+    revisits = small.where("type = 'revisit'").join(referred, ["refers_to", "payload_digest"], "left").withColumn(
         "payload_bytes", F.col("full_bytes")).drop("full_bytes")
     return responses.unionByName(revisits).select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest",

@@ -51,9 +51,10 @@ def test_escapes_by_hand():
 
 def test_predictions(docs, model):
     rows = docs((1, "thing with the", "aa"), (2, "nicht für und", "bb"), (3, None), (4, ""), (5, "12 !?"),
-                (None, "the", None), (1, "thing with the", "aa"), (6, "und nicht " * 50_000, "bb"))
+                (None, "the", None), (1, "thing with the", "aa"), (6, "und nicht " * 50_000, "bb"),
+                (7, "½ ² ①"), (8, "Ⅷ"))  # numbers, not letters
     got = L.with_language(rows, model).select("doc_id", "text", "language.*").collect()
-    assert len(got) == 8
+    assert len(got) == 10
     for r in got:
         assert 0 <= r.score <= 1
         assert r.lang_pred == {1: "aa", 2: "bb", 6: "bb", None: "aa"}.get(r.doc_id, "und")

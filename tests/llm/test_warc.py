@@ -57,3 +57,12 @@ def test_empty(spark):
     path = scratch_path(spark, "warc-test")
     warc.write_warc(spark.createDataFrame([], SCHEMA), path)
     assert warc.digest(warc.read_warc(spark, path)).collect() == []
+
+
+def test_repeated_ids_with_other_payloads(spark):
+    """A revisit reports the bytes of the payload it names, not of another one under the same id."""
+    rows = [(1, "u", "a" * 200), (1, "u", "b" * 500), (2, "v", "a" * 200)]
+    path = scratch_path(spark, "warc-test")
+    warc.write_warc(spark.createDataFrame(rows, SCHEMA).coalesce(1), path)
+    got = [tuple(r) for r in warc.digest(warc.read_warc(spark, path)).collect()]
+    assert sorted(got) == sorted(expected(rows))
