@@ -31,7 +31,9 @@ def publish(
     ranked table.
 
     ``rank`` makes the ranked table of the raw mentions, which come from the saved state; exports
-    are only written.
+    are only written. The result table takes the ranked rows as run ``at`` (see
+    ``files.append_results``), so a job stopped at any step and repeated with the same ``at`` leaves
+    each run's rows in it once.
     Returns the written paths, whether the run was complete and the new dashboard table.
     """
     spark, root = store.spark, root.rstrip("/")
@@ -46,7 +48,8 @@ def publish(
         return out
     ranked = without_order(cut_lineage(rank(without_missing(saved.raw))))
     path = files.write_snapshot(ranked, root, "links_sorted.csv", at)
-    files.append_results(ranked, f"{root}/results")
+    # the job's time names the run: a repeated job replaces its rows instead of adding them again
+    files.append_results(ranked, f"{root}/results", run_id=f"{at:%Y%m%d%H%M}")
     board = board if board is not None else spark.createDataFrame([], BOARD)
     board = dashboard.upsert(board, dashboard_links(spark, raw, path))
     store.clear()

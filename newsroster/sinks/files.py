@@ -38,14 +38,41 @@ def with_verified(df: DataFrame) -> DataFrame:
     return df if "Verified" in df.columns else df.select(F.lit(False).alias("Verified"), "*")
 
 
-def append_results(df: DataFrame, path: str) -> int:
-    """Append ranked rows to the result table; returns how many."""
+def append_results(df: DataFrame, path: str, run_id: str | None = None) -> int:
+    """Append ranked rows to the result table; returns how many.
+
+    With a ``run_id`` the append is a commit: the rows overwrite the folder ``run=<id>``, then the
+    marker ``_published/<id>`` is written. A job that dies before the marker and is repeated with the
+    same id replaces its own rows, so every run is in the table once; ``published_results`` reads
+    the marked runs only.
+    """
     observation = Observation()
     rows = with_verified(df).observe(observation, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("append").parquet(path)
+    if run_id is None:
+        rows.write.mode("append").parquet(path)
+        return observation.get["rows"]
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run_id}")
+    spark = df.sparkSession
+    jvm = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_published/{run_id}")
+    jvm.getFileSystem(spark._jsc.hadoopConfiguration()).create(jvm, True).close()
     return observation.get["rows"]
 
 
+def published_runs(spark, path: str) -> list[str]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_published")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(e.getPath().getName() for e in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def published_results(spark, path: str) -> DataFrame | None:
+    """Rows of the committed runs of a result table, with ``run``; None before the first."""
+    runs = published_runs(spark, path)
+    if not runs:
+        return None
+    rows = spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/run={r}" for r in runs])
+    return rows.withColumn("run", F.col("run").cast("string"))
+
+
 def snapshot_name(name: str, at: datetime) -> str:
     return f"{at:%Y-%m-%d_%H-%M}_{name}"
 

@@ -3,6 +3,7 @@
 import json
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from newsroster.operators import ingest, planning, settings, state
@@ -381,3 +382,33 @@ def test_log_stream(spark, tmp_path):
     ship_logs(spark, path, df.schema, out, check)
     kept = sorted((r["event_id"], r["time"]) for r in spark.read.parquet(out).collect())
     assert kept == [(1, "2024-01-01 10:00:00"), (3, "2024-01-01 12:00:01")]
+
+
+def test_publish_repeated_after_a_crash(spark, tmp_path):
+    """Killed between the result append and the state clear, the repeated job leaves each row once."""
+    from newsroster.sinks.files import published_results
+
+    people = roster(spark, *[("", n, "", "") for n in NAMES])
+    good = [attempt(n, 1, {"items": [hit(f"http://x.org/{n}")]}) for n in NAMES]
+    store = StateStore(spark, str(tmp_path / "state"))
+    at = datetime(2024, 5, 2, 9, 30)
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    rank = lambda raw: process(raw, Rules(), pages)
+    clear = store.clear
+
+    def crash():
+        raise RuntimeError("killed")
+
+    store.clear = crash
+    with pytest.raises(RuntimeError):
+        publish(collect(people, landed(spark, *good), *store.load(), max_results=10), rank, store, str(tmp_path), at)
+    store.clear = clear
+    again = publish(collect(people, landed(spark, *good), *store.load(), max_results=10), rank, store, str(tmp_path),
+                    at)
+    assert again["complete"]
+    results = published_results(spark, str(tmp_path / "results"))
+    assert results.count() == 4 and {r["run"] for r in results.collect()} == {"202405020930"}
+    # a later run is a run of its own
+    later = datetime(2024, 5, 3, 9, 30)
+    publish(collect(people, landed(spark, *good), *store.load(), max_results=10), rank, store, str(tmp_path), later)
+    assert published_results(spark, str(tmp_path / "results")).count() == 8
