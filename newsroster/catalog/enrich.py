@@ -70,10 +70,29 @@ def sql_text(marked: str) -> str:
     return f"trim(regexp_replace({text}, '[{WHITESPACE}]+', ' ', 'g'))"
 
 
+def _sql_outermost(html: str, tag: str) -> str:
+    """Outermost closed elements by depth: clamped depth is the prefix sum less its running minimum
+    (never above zero). Each value is bound once as the parameter of a one-element list's lambda."""
+    pattern = rf"'(?i)</?{tag}\b[^>]*>'"
+
+    def bind(value: str, name: str, body: str) -> str:
+        return f"(list_transform([{value}], lambda {name}: {body}))[1]"
+
+    kept = ("nullif(array_to_string(list_filter(list_transform(dd, lambda x, k: CASE WHEN x >= 1 AND k < "
+            "coalesce(list_max(list_transform(dd, lambda y, j: CASE WHEN y = 0 THEN j END)), 0) THEN "
+            "(CASE WHEN k > 1 AND dd[k - 1] = 0 THEN '</p>' ELSE '' END) || pieces[k + 1] END), "
+            "lambda z: z IS NOT NULL), ''), '')")
+    depths = bind("list_transform(ps, lambda x, i: x - least(0, list_min(list_slice(ps, 1, i))))", "dd", kept)
+    sums = bind("list_transform(st, lambda x, i: list_sum(list_slice(st, 1, i)))", "ps", depths)
+    steps = bind("list_transform(tg, lambda t: CASE WHEN t[2] = '/' THEN -1 ELSE 1 END)", "st", sums)
+    tags = bind(f"regexp_extract_all(hh, {pattern})", "tg", steps)
+    pieces = bind(f"regexp_split_to_array(hh, {pattern})", "pieces", tags)
+    return bind(html, "hh", pieces)
+
+
 def sql_article(html: str) -> str:
     def inner(tag):
-        return (f"nullif(array_to_string(regexp_extract_all({sql_visible(html)}, "
-                rf"'(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>', 1), '</p>'), '')")
+        return _sql_outermost(sql_visible(html), tag)
 
     blocks = (r"'(?i)</(p|div|h[1-6]|li|ul|ol|section|blockquote|tr|table|pre|figure)\s*>"
               r"|<br\s*/?>'")

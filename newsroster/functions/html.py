@@ -39,15 +39,43 @@ def text_of(visible_html: Column) -> Column:
     return collapse(_decode(F.regexp_replace(visible_html, TAG, "")))
 
 
-def article_of(visible_html: Column) -> Column:
-    def inner(tag: str) -> Column:
-        """What all elements of a kind hold; one begins a new paragraph after another."""
-        found = F.regexp_extract_all(
-            visible_html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
-        return let(F.array_join(found, "</p>"), lambda text: F.when(text != "", text))
+def outermost(html: Column, tag: str) -> Column:
+    """What the outermost closed elements of a kind hold, one beginning a new paragraph after
+    another; null if nothing.
+
+    The opening and closing tags of the kind are counted in order: depth rises at an opening tag
+    and falls at a closing one, never below zero (a stray closing tag is passed over). The text
+    between tags counts where the depth is one or more and a later tag brings it back to zero, so
+    nested elements stay inside their outer one and an element left open counts not. Linear in the
+    length of the page; the list of depths is grown tag by tag, so quadratic in the number of tags
+    of that kind on one page only.
+    """
+    pattern = rf"(?i)</?{tag}\b[^>]*>"
+
+    def scan(both: Column) -> Column:
+        tags, pieces = both["tags"], both["pieces"]
+        steps = F.transform(tags, lambda t: F.when(F.substring(t, 2, 1) == "/", -1).otherwise(1))
+        depths = F.aggregate(steps, F.array().cast("array<int>"), lambda acc, step: F.concat(acc, F.array(
+            F.greatest(F.lit(0), F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + step).cast("int"))))
+
+        def kept(d: Column) -> Column:
+            last_zero = F.array_max(F.transform(d, lambda x, i: F.when(x == 0, i)))
+            parts = F.transform(d, lambda x, k: F.when((x >= 1) & (k < last_zero), F.concat(
+                F.when((k > 0) & (F.try_element_at(d, k) == 0), F.lit("</p>")).otherwise(F.lit("")),
+                F.element_at(pieces, k + 2))))
+            return F.array_join(parts, "")
+
+        return let(depths, kept)
+
+    found = let(F.struct(F.regexp_extract_all(html, F.lit(f"({pattern})"), F.lit(1)).alias("tags"),
+                         F.split(html, pattern).alias("pieces")), scan)
+    return let(found, lambda text: F.when(text != "", text))
+
 
+def article_of(visible_html: Column) -> Column:
     # U+0001 marks block ends while whitespace is collapsed around it.
-    marked = F.regexp_replace(F.coalesce(inner("article"), inner("main")), BLOCK_END, "\u0001")
+    marked = F.regexp_replace(F.coalesce(outermost(visible_html, "article"), outermost(visible_html, "main")),
+                              BLOCK_END, "\u0001")
     flat = collapse(_decode(F.regexp_replace(marked, TAG, "")))
     joined = F.btrim(F.regexp_replace(flat, " *\u0001[ \u0001]*", "\n\n"), F.lit("\n"))
     return let(joined, lambda text: F.when(text != "", text))
@@ -59,7 +87,8 @@ def page_text(html: Column) -> Column:
 
 
 def article_body(html: Column) -> Column:
-    """Text of all ``<article>``, else of all ``<main>``, paragraphs apart by a blank line; else null."""
+    """Text of all outermost ``<article>``, else of all outermost ``<main>`` (nested ones inside
+    their outer one), paragraphs apart by a blank line; else null."""
     return let(visible(html), article_of)
 
 

@@ -157,3 +157,16 @@ def test_scores(spark):
     said = ["Score: 4", "10", "9 of 7, so 2", "none", "", "-3"]
     assert column(spark, said, answers.parse_score) == [4, 1, 2, None, None, 3]
     assert column(spark, [" Yes.", "yep", "No", ""], answers.says_yes) == [True, True, False, False]
+
+
+def test_nested_articles_stay_inside_their_outer_one(spark):
+    from newsroster.functions.html import article_body
+
+    cases = {"<article>a<article>b</article>c</article>": "abc",
+             "<article>one</article><div>y</div><article>two</article>": "one\n\ntwo",
+             "</article><article>k</article>": "k", "<article>open only": None,
+             "<ARTICLE id=1>A<article >B</article>C</ARTICLE>": "ABC", "<main>m<main>n</main>o</main>": "mno",
+             "<article></article><main>z</main>": "z"}
+    df = spark.createDataFrame(list(cases), "string").toDF("html")
+    got = {r.html: r.a for r in df.select("html", article_body(df.html).alias("a")).collect()}
+    assert got == cases
