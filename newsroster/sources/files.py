@@ -17,14 +17,50 @@ MISSING = [
 ]
 
 
+HEAD_BYTES = 1 << 20  # a header line longer than this is cut there
+
+
+def _files_of(spark: SparkSession, path) -> list[str]:
+    """Data files below the paths, as Spark's file index lists them (hidden files left out)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return sorted(spark.read.format("binaryFile").load(paths).select("path").inputFiles())
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file, read through Hadoop's file system in blocks of 64 KB up to its
+    first newline (at most ``HEAD_BYTES``), whatever the size of the file; None if it is empty."""
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(file)
+    stream = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).open(hpath)
+    data = b""
+    try:
+        while len(data) < HEAD_BYTES and b"\n" not in data:
+            block = bytes(stream.readNBytes(65536))
+            if not block:
+                break
+            data += block
+    finally:
+        stream.close()
+    if not data:
+        return None
+    return data.split(b"\n", 1)[0][:HEAD_BYTES].decode("utf-8", "replace").rstrip("\r")
+
+
 def headers(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header: its column names in order. A header is the first line of a file."""
-    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).select(
-        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"),
-        "value")
-    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    """Files by their header: its column names in order. A header is the first line of a file.
+
+    Only the head of each file is read, by the driver through Hadoop's file system (any store Spark
+    reads), a few files at a time; empty files have no header and are left out.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    files = _files_of(spark, path)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        heads = list(pool.map(lambda f: _first_line(spark, f), files))
     found: dict[tuple[str, ...], list[str]] = {}
-    for file, header in first.select("file", "header").collect():  # one row per file
+    for file, header in zip(files, heads):  # one line per file
+        if header is None:
+            continue
         names = tuple(next(csv.reader([header.removeprefix("\ufeff")]), []))
         found.setdefault(names, []).append(file)
     return found

@@ -412,3 +412,16 @@ def test_publish_repeated_after_a_crash(spark, tmp_path):
     later = datetime(2024, 5, 3, 9, 30)
     publish(collect(people, landed(spark, *good), *store.load(), max_results=10), rank, store, str(tmp_path), later)
     assert published_results(spark, str(tmp_path / "results")).count() == 8
+
+
+def test_headers_read_only_file_heads(spark, tmp_path):
+    from newsroster.sources.files import headers
+
+    (tmp_path / "a.csv").write_bytes("﻿Link,Title\r\nhttp://x,\"two\nlines\"\n".encode())
+    (tmp_path / "b.csv").write_text("Title,Link\n" + "t,l\n" * 20000)
+    (tmp_path / "empty.csv").write_text("")
+    found = headers(spark, str(tmp_path))
+    assert {names: [f.rsplit("/", 1)[1] for f in files] for names, files in found.items()} == {
+        ("Link", "Title"): ["a.csv"], ("Title", "Link"): ["b.csv"]}
+    rows = read_csv(spark, str(tmp_path)).collect()
+    assert len(rows) == 20001 and {r["Title"] for r in rows} == {"t", "two\nlines"}
