@@ -79,6 +79,16 @@ def date_range_filter(spark, folder):
     return P.in_date_range(rows, "Date", "2024-01-5", "20240120", TODAY)
 
 
+def date_range_stored(spark, folder):
+    """The same window over mentions stored by day: only the folders of the window's days are read."""
+    from ..session import scratch_path
+    from ..sinks.by_day import read_days, write_by_day
+
+    path = scratch_path(spark, "by_day")
+    write_by_day(Landed(spark, folder).mentions, path, "Date")
+    return read_days(spark, path, "2024-01-5", "20240120", TODAY)
+
+
 def newest_first(spark, folder):
     rows = Landed(spark, folder).mentions.select("ord", "Link", "Date")
     return with_position(rows, order_by(["Date"], False))
@@ -102,7 +112,7 @@ QUERIES = {
     "expand_roster": expand_roster, "expand_roster_all": expand_roster_all,
     "resolve_params": resolved, "effective_params": effective_params,
     "decode_query": decode_query, "normalize_date": normalize_date, "date_window": date_window,
-    "date_range_filter": date_range_filter, "newest_first": newest_first,
+    "date_range_filter": date_range_filter, "date_range_stored": date_range_stored, "newest_first": newest_first,
     "plan_pages": plan_pages, "quota_cut": quota_cut,
 }
 
@@ -165,6 +175,9 @@ ORACLE = {
     "date_range_filter": oracle("""
         SELECT * FROM {mentions}
         WHERE CAST(substring(Date, 1, 10) AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""),
+    "date_range_stored": oracle("""
+        SELECT * FROM {mentions}
+        WHERE CAST(substring(Date, 1, 10) AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""),
     "newest_first": oracle("""
         SELECT ord, Link, Date, row_number() OVER (ORDER BY Date DESC NULLS LAST, ord) AS rank
         FROM {mentions}"""),

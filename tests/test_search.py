@@ -425,3 +425,18 @@ def test_headers_read_only_file_heads(spark, tmp_path):
         ("Link", "Title"): ["a.csv"], ("Title", "Link"): ["b.csv"]}
     rows = read_csv(spark, str(tmp_path)).collect()
     assert len(rows) == 20001 and {r["Title"] for r in rows} == {"t", "two\nlines"}
+
+
+def test_days_outside_the_window_are_not_read(spark, tmp_path):
+    from newsroster.sinks.by_day import read_days, write_by_day
+
+    rows = spark.createDataFrame([("a", "2024-01-05T10:00"), ("b", "2024-01-20"), ("c", "2024-02-01"),
+                                  ("d", None), ("e", "soon")], "Link string, Date string")
+    path = str(tmp_path / "by_day")
+    write_by_day(rows, path)
+    # a broken file in a day outside the window: reading it would fail
+    (tmp_path / "by_day" / "day=2024-02-01" / "part-broken.parquet").write_bytes(b"not parquet")
+    window = read_days(spark, path, "2024-01-5", "20240120", TODAY)
+    assert sorted(r["Link"] for r in window.collect()) == ["a", "b"]
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
