@@ -55,7 +55,7 @@ def scored(
     storage, so that the costly page stage need not repeat the cleaning if an executor is lost.
     """
     rows = cut_lineage(cleaned(mentions, rules))
-    facts = enrich.page_facts(pages, text_limit)
+    facts = enrich.page_facts(pages, text_limit, wanted=rows)
     filled = enrich.fill_blanks(rows, facts, all_linked=True)
     if judge is not None:
         filled = relevance.filter_with(filled, judge)

@@ -440,3 +440,19 @@ def test_days_outside_the_window_are_not_read(spark, tmp_path):
     assert sorted(r["Link"] for r in window.collect()) == ["a", "b"]
     plan = window._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "day" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
+def test_pages_not_wanted_are_dropped_before_parsing(spark):
+    from newsroster.operators.enrich import page_facts, wanted_pages
+
+    pages = spark.range(2000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://p/"), "id").alias("url"),
+                                     F.lit("<article>x</article>").alias("html"))
+    links = spark.range(0, 2000, 100).select(F.concat(F.lit("http://p/"), "id").alias("Link"))
+    kept = wanted_pages(pages, links.union(spark.createDataFrame([(None,), ("",)], "Link string")))
+    urls = {r["url"] for r in kept.collect()}
+    assert {r["Link"] for r in links.collect()} <= urls and len(urls) <= 60  # 20 wanted of 2000
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    whole = {r["url"]: tuple(r) for r in page_facts(pages).join(links, F.col("url") == F.col("Link"), "left_semi").collect()}
+    assert {r["url"]: tuple(r) for r in page_facts(pages, wanted=links).join(
+        links, F.col("url") == F.col("Link"), "left_semi").collect()} == whole
