@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.window import Window
 
 from ..functions import urls
+from ..functions.patterns import literals_of
 from ..functions.text import any_of
 from ..session import cut_lineage
 from .ordering import sort_rows
@@ -73,8 +74,10 @@ def remove_by_links(df: DataFrame, patterns, literal: bool = False) -> DataFrame
     """Drop rows whose link matches any pattern; null links stay, no patterns drop nothing.
 
     Patterns are regular expressions, or plain substrings with ``literal``. Those of a table are
-    joined on a literal that each of them must contain and checked on the matches; the few
-    without such a literal are scanned for, chunk by chunk.
+    joined on a literal that each of them must contain (or, with groups and alternatives, on each
+    of the literals one of which every match holds; ``functions.patterns``) and checked on the
+    matches; only those without any such literal (``[a-z]+``, flags, Unicode classes) are scanned
+    for, chunk by chunk, and that list is what reaches the driver.
     """
     if literal:
         return drop_links_with(df, patterns, lower=False)
@@ -83,9 +86,12 @@ def remove_by_links(df: DataFrame, patterns, literal: bool = False) -> DataFrame
         return df.where(~pattern_hit(values))
     rules = rule_table(df.sparkSession, patterns, "__rule").withColumn(
         "__word", needed_literal(F.col("__rule")))
-    plain = [r[0] for r in rules.where("__word IS NULL").select("__rule").collect()]
+    # Groups and alternatives: one rule row per literal of which every match holds one.
+    rest = rules.where("__word IS NULL").withColumn("__alts", literals_of(F.col("__rule")))
+    split = rest.where("__alts IS NOT NULL").select("__rule", F.explode("__alts").alias("__word"))
+    plain = [r[0] for r in rest.where("__alts IS NULL").select("__rule").collect()]
     blocked = _links_holding(
-        df, rules.where("__word IS NOT NULL"), F.col("Link"),
+        df, rules.where("__word IS NOT NULL").select("__rule", "__word").unionByName(split), F.col("Link"),
         F.rlike("__text", "__rule"))
     return df.where(~pattern_hit(sorted(plain))).join(blocked, "Link", "left_anti").select(*df.columns)
 

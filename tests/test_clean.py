@@ -279,3 +279,18 @@ def test_process_smoke(spark, mentions):
     out = ranked.collect()
     assert [r["Person"] for r in out] == ["Ada L (full)"] + people[1:]
     assert {r["Relevance"] for r in out} == {4}
+
+
+def test_patterns_with_groups_are_joined_not_collected(spark):
+    from newsroster.operators.clean import remove_by_links
+
+    links = ["http://news.example.com/a", "http://blog.example.org/b", "http://promo12.net/x", "http://ads7.io",
+             "http://adsx.io", "http://other.com/spam.html", "http://x.com/AbC", None]
+    df = spark.createDataFrame([(i, link) for i, link in enumerate(links)], "ord long, Link string")
+    patterns = spark.createDataFrame([(r"(news|blog)\.example",), (r"(promo|ads)[0-9]+",), (r"^https?://(www\.)?spam",),
+                                      (r"(?i)abc",), (r"[0-9]{9}",)], "pattern string")
+    kept = {r["Link"] for r in remove_by_links(df, patterns).collect()}
+    import re
+    want = {link for link in links if link is None or not any(re.search(p, link) for p in [
+        r"(news|blog)\.example", r"(promo|ads)[0-9]+", r"^https?://(www\.)?spam", r"(?i)abc", r"[0-9]{9}"])}
+    assert kept == want == {"http://adsx.io", "http://other.com/spam.html", None}
