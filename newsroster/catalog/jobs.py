@@ -155,11 +155,23 @@ def stream_logs(spark, folder):
     return spark.read.parquet(f"{root}/log").select("event_id", "level", "time", "message")
 
 
+def stream_log_batches(spark, folder):
+    """The log stream with batch numbers of 25 rows, going on from one micro-batch to the next."""
+    records = Landed(spark, folder).log_records
+    root = scratch_path(spark, "log_batches_stream")
+    for level in ("ERROR", "INFO"):
+        records.where(F.col("level") == level).write.mode("append").parquet(f"{root}/records")
+        ship_logs(spark, f"{root}/records", records.schema, f"{root}/log", f"{root}/checkpoint", batch_size=25)
+    return spark.read.parquet(f"{root}/log").select(
+        "event_id", "level", "time", "message", F.col("log_batch").alias("batch"), "position")
+
+
 QUERIES = {
     "collect_job": collect_job, "collect_state": collect_state, "process_job": process_job,
     "process_job_tables": process_job_tables, "publish_job": publish_job,
     "stream_resume": stream_resume, "stream_state": stream_state, "stream_logs": stream_logs,
     "stream_delta_state": stream_delta_state, "collect_plan": collect_plan,
+    "stream_log_batches": stream_log_batches,
 }
 
 # What one collect run must leave, on top of the steps of the ingest section.
@@ -268,6 +280,16 @@ ORACLE = {
                i.link AS Link
         FROM {ok_attempts} a JOIN {attempt_items} i ON i.event_id = a.event_id""",
         classified=STEPS["classified"], ok_attempts=_OK),
+    "stream_log_batches": oracle("""
+        SELECT event_id, level, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, message,
+               (CASE WHEN level = 'INFO' THEN (SELECT (count(*) + 24) // 25 FROM {shipped} WHERE level = 'ERROR')
+                     ELSE 0 END) + (n - 1) // 25 AS batch,
+               row_number() OVER (PARTITION BY level, (n - 1) // 25 ORDER BY n DESC) AS position
+        FROM (SELECT *, row_number() OVER (PARTITION BY level ORDER BY ts, event_id) AS n FROM {shipped})""",
+        shipped="""
+        SELECT * FROM {log_records} WHERE level IN ('ERROR', 'INFO')
+        AND NOT (starts_with(logger_name, 'google.') OR starts_with(logger_name, 'urllib3')
+                 OR starts_with(logger_name, 'gspread'))"""),
     "stream_logs": oracle("""
         SELECT event_id, level, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, message
         FROM {log_records}
