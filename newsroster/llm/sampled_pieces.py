@@ -38,6 +38,8 @@ class Lattices:
 
     def clear(self):
         self.numbers.clear()
+        self.token_of = []  # pre-tokens by number
+        self.uses = np.zeros(0, np.int64)  # slices in which each pre-token occurred
         self.node_of = np.zeros(0, np.int64)  # by number of the pre-token
         self.last = np.full(1, -1, np.int64)  # longest entering edge of each node
         self.below = np.zeros(0)  # share of the shorter edges of the same node
@@ -93,12 +95,40 @@ class Lattices:
         self.origin = np.concatenate([self.origin, np.array(origins, np.int32)])
         return ends
 
+    def renew(self):
+        """Start again with room, keeping the pre-tokens that came back: those of two or more
+        slices, most used first, up to half of ``MOST_NODES`` characters. They are numbered anew
+        and built with the next slice; a pre-token's lattice and draws do not depend on its number."""
+        frequent = np.flatnonzero(self.uses >= 2)
+        frequent = frequent[np.argsort(-self.uses[frequent], kind="stable")]
+        kept, room = [], MOST_NODES // 2
+        for number in frequent.tolist():
+            token = self.token_of[number]
+            if len(token) > room:
+                break
+            room -= len(token)
+            kept.append((token, int(self.uses[number])))
+        self.clear()
+        numbers, uses = self.numbers, {}
+        for token, used in kept:
+            if token == "\n":
+                uses[0] = used
+            elif token.startswith(" "):
+                uses[numbers.spaced[token[1:]]] = used
+            else:
+                uses[numbers.bare[token]] = used
+        self.uses = np.zeros(numbers.count, np.int64)
+        self.uses[list(uses)] = list(uses.values())
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Last nodes of the pre-tokens of all texts, and how many each text has."""
         if len(self.last) > MOST_NODES:
-            self.clear()
+            self.renew()
         found, sizes = self.numbers(texts)
         fresh = self.numbers.take_fresh()
+        self.token_of.extend(fresh)  # numbers are given in this order
+        self.uses = np.concatenate([self.uses, np.zeros(self.numbers.count - len(self.uses), np.int64)])
+        self.uses[np.unique(found)] += 1
         order = sorted(range(len(fresh)), key=fresh.__getitem__)
         nodes = np.zeros(len(fresh), np.int64)
         nodes[order] = self.add([fresh[k] for k in order])

@@ -93,3 +93,25 @@ def test_counts_of_odd_rows(odd):
     got = {(r.doc_id, r.text): r.n_tokens for r in T.with_token_counts(odd).collect()}
     assert got[(2, "")] == got[(7, None)] == 0 and got[(6, "word " * 30_000)] >= 30_000
     assert T.with_token_counts(odd.limit(0)).collect() == []
+
+
+def test_kept_pre_tokens_give_the_same_pieces(monkeypatch):
+    """Renewing the lattice cache (and keeping the pre-tokens that came back) never changes a draw."""
+    from newsroster.llm.pieces import Vocabulary
+    from newsroster.llm.sampled_pieces import Lattices, encode_batch
+
+    vocabulary = Vocabulary.load(None)
+    words = ["alpha", "beta", "gamma", "delta", "épsilon", "zeta", "x" * 80, "日本語", "the", "and"]
+    slices = [[" ".join(words[(k * j) % len(words)] for j in range(40)) + "\n  two  blanks \n", None, ""]
+              for k in range(1, 12)]
+    keys = [[k, k + 1, k + 2] for k in range(len(slices))]
+    plain = Lattices(vocabulary, 1.0)
+    want = [encode_batch(plain, kk, [t or "" for t in texts]) for kk, texts in zip(keys, slices)]
+    monkeypatch.setattr(S, "MOST_NODES", 60)
+    renewals, renew = [], Lattices.renew
+    monkeypatch.setattr(Lattices, "renew", lambda self: renewals.append(1) or renew(self))
+    small = Lattices(vocabulary, 1.0)
+    got = [encode_batch(small, kk, [t or "" for t in texts]) for kk, texts in zip(keys, slices)]
+    for (a, n), (b, m) in zip(want, got):
+        assert a.tolist() == b.tolist() and n.tolist() == m.tolist()
+    assert len(renewals) >= 5 and (small.uses >= 2).any()  # renewed on the way, frequent ones kept
