@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..functions.binding import let
 
 START, END, BETWEEN = "<|im_start|>", "<|im_end|>\n", "<|im_sep|>"
 SPAN = "array<struct<start:int, end:int>>"
@@ -59,21 +61,21 @@ def format_chats(
             F.when(ends, END).otherwise("").alias("tail"),
             x["role"].isin(*trained).alias("loss"))
 
-    def add(got, p):
-        start = got["at"] + F.length(p["head"])
-        end = start + F.length(p["body"])
-        return F.struct(
-            (end + F.length(p["tail"])).alias("at"),
-            F.when(p["loss"], F.concat(got["spans"], F.array(F.struct(
-                start.alias("start"), end.alias("end"))))).otherwise(got["spans"]).alias("spans"))
-
-    pieces = F.col("pieces")
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
-    return sorted_.select("conv_id", F.transform(every, piece).alias("pieces")).select(
-        "conv_id",
-        F.array_join(F.transform(
-            pieces, lambda p: F.concat(p["head"], p["body"], p["tail"])), "").alias("formatted"),
-        F.aggregate(pieces, empty, add, lambda got: got["spans"]).alias("loss_spans"))
+    laid = sorted_.select("conv_id", F.transform(every, piece).alias("pieces"))
+    formatted = laid.select("conv_id", F.array_join(F.transform(
+        "pieces", lambda p: F.concat(p["head"], p["body"], p["tail"])), "").alias("formatted"))
+    # Offsets by a running sum over the pieces of a conversation: linear in its turns. The rows are
+    # already partitioned by conversation, so the window and the regrouping add no shuffle.
+    placed = laid.select("conv_id", F.posexplode("pieces").alias("i", "p"))
+    conversation = Window.partitionBy("conv_id").orderBy("i")
+    size = F.length(F.col("p.head")) + F.length(F.col("p.body")) + F.length(F.col("p.tail"))
+    before = F.coalesce(F.sum(size).over(conversation.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spans = placed.withColumn("__start", before + F.length(F.col("p.head"))).groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.when(F.col("p.loss"), F.struct(
+            F.col("__start").cast("int").alias("start"),
+            (F.col("__start") + F.length(F.col("p.body"))).cast("int").alias("end"))))).alias("loss_spans"))
+    return formatted.join(spans, formatted["conv_id"].eqNullSafe(spans["conv_id"])).select(
+        formatted["conv_id"], "formatted", F.coalesce("loss_spans", F.array().cast(SPAN)).alias("loss_spans"))
 
 
 def parse_chats(formatted: Column) -> Column:
@@ -94,10 +96,10 @@ def parse_chats(formatted: Column) -> Column:
 
 
 def masked_texts(formatted: Column, spans: Column) -> Column:
-    """The unescaped texts under a mask. Four bytes per code point make each cut direct."""
-    wide = F.encode(formatted, "UTF-32")
-    return F.transform(spans, lambda s: unescape(F.decode(
-        F.substring(wide, s["start"] * 4 + 1, (s["end"] - s["start"]) * 4), "UTF-32")))
+    """The unescaped texts under a mask. Four bytes per code point make each cut direct; the text
+    is encoded once per row, not once per span."""
+    return let(F.encode(formatted, "UTF-32"), lambda wide: F.transform(spans, lambda s: unescape(F.decode(
+        F.substring(wide, s["start"] * 4 + 1, (s["end"] - s["start"]) * 4), "UTF-32"))))
 
 
 def digest(chats: DataFrame) -> DataFrame:

@@ -31,3 +31,17 @@ def test_same_roles_are_merged(spark):
 
 def test_empty(spark):
     assert digest(format_chats(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+def test_ten_thousand_turns(spark):
+    """Offsets come from a running sum and the text is encoded once per row: linear in the turns."""
+    import hashlib
+
+    from newsroster.llm import chat
+
+    rows = [(7, i, "assistant" if i % 2 else "user", f"t{i} <|im_end|> " * 40) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.digest(chat.format_chats(df)).first()
+    loss = "".join(r[3] for r in rows if r[2] == "assistant")
+    assert got["n_turns"] == 10_000 and got["loss_chars"] == len(loss)
+    assert got["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
