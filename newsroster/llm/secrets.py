@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import let
 from .common import constant_array, sampled_ids, text_of
 
 # The base kinds in their order, each with pattern, value group and least length.
@@ -24,6 +25,19 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 SIDE = len(ALPHABET) + 1
 
 SPANS = "array<struct<start:int, kind:int, end:int, value:string>>"
+SCAN_STEPS = 31  # doubling steps of a prefix scan: arrays up to 2^31 elements
+
+
+def _scan(values: Column, combine) -> Column:
+    """Inclusive prefix scan of an array by doubling: step k combines each element with the one
+    2^k before it. Linear in the array (a fixed 31 passes), where growing an array is quadratic."""
+    def step(gap: int):  # a lambda with a default argument would be taken for one with an index
+        return lambda a: F.transform(a, lambda x, i: F.when(i >= gap, combine(F.get(a, i - gap), x)).otherwise(x))
+
+    out = values
+    for k in range(SCAN_STEPS):
+        out = let(out, step(1 << k))
+    return out
 
 
 def _found(t: Column, kind: int, pattern: str, group: int, least: int) -> Column:
@@ -37,16 +51,14 @@ def _found(t: Column, kind: int, pattern: str, group: int, least: int) -> Column
             F.regexp_extract_all(t, F.lit(pattern), F.lit(group)).alias("value")),
         lambda gap, hit: F.struct(
             F.length(gap).alias("gap"), F.length(hit["all"]).alias("n"), hit["value"].alias("value")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
-    spans = F.aggregate(
-        F.filter(pairs, lambda p: p["n"].isNotNull()), empty,
-        lambda got, p: F.struct(
-            (got["at"] + p["gap"] + p["n"]).alias("at"),
-            F.concat(got["spans"], F.array(F.struct(
-                (got["at"] + p["gap"]).alias("start"), F.lit(kind).alias("kind"),
-                (got["at"] + p["gap"] + p["n"]).alias("end"), p["value"].alias("value")))
-            ).alias("spans")),
-        lambda got: got["spans"])
+
+    def placed(hits: Column) -> Column:
+        ends = _scan(F.transform(hits, lambda p: p["gap"] + p["n"]), lambda a, b: a + b)
+        return let(ends, lambda e: F.zip_with(hits, e, lambda p, end: F.struct(
+            (end - p["n"]).alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
+            p["value"].alias("value"))))
+
+    spans = let(F.filter(pairs, lambda p: p["n"].isNotNull()), placed)
     return F.when(t.rlike(pattern), F.filter(spans, lambda s: F.length(s["value"]) >= least)) \
         .otherwise(F.array().cast(SPANS))
 
@@ -61,10 +73,11 @@ def _steps(run: Column) -> Column:
     def code(c):
         return F.instr(F.lit(ALPHABET), c)
 
-    chars = F.split(F.lower(run), "")
-    return F.transform(
-        F.slice(chars, 1, F.greatest(F.size(chars) - 1, F.lit(0))),
-        lambda c, i: code(c) * SIDE + code(F.get(chars, i + 1)))
+    def pairs(chars: Column) -> Column:
+        n = F.greatest(F.size(chars) - 1, F.lit(0))
+        return F.zip_with(F.slice(chars, 1, n), F.slice(chars, 2, n), lambda a, b: code(a) * SIDE + code(b))
+
+    return let(F.split(F.lower(run), ""), pairs)
 
 
 def ratio_table(
@@ -127,16 +140,31 @@ def find_secrets(
         total = F.aggregate(steps, F.lit(0.0), lambda sum_, s: sum_ + F.get(table, s))
         return total >= least_ratio * F.size(steps)
 
-    def is_new(span):
-        return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    def new_ones(base: Column, candidates: Column) -> Column:
+        """Candidates that no base span touches, by one merge: events sorted by place, a base span
+        at its start (after a candidate ending there), a candidate at its end; a running maximum of
+        base ends tells whether a base span that starts before a candidate's end reaches past its start."""
+        events = F.array_sort(F.concat(
+            F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("kind"),
+                                                 b["end"].alias("reach"), F.lit(-1).alias("index"))),
+            F.transform(candidates, lambda c, i: F.struct(c["end"].alias("at"), F.lit(0).alias("kind"),
+                                                          F.lit(-1).alias("reach"), i.alias("index")))))
+        reach = let(events, lambda ev: F.zip_with(ev, _scan(F.transform(ev, lambda e: e["reach"]), F.greatest),
+                                                  lambda e, most: F.struct(e["index"].alias("index"),
+                                                                           most.alias("most"))))
+        free = F.transform(F.filter(reach, lambda r: r["index"] >= 0), lambda r: F.struct(
+            r["index"].alias("index"), r["most"].alias("most")))
+        return F.filter(F.transform(free, lambda r: F.struct(
+            F.get(candidates, r["index"]).alias("span"), r["most"].alias("most"))),
+            lambda r: r["most"] <= r["span"]["start"])
 
     names = F.array(*[F.lit(name) for name in [*BASE, ADDED]])
     found = (
         docs.select(F.col(f"`{id}`").alias("doc_id"), text_of(text).alias("t"))
         .select("doc_id", base_spans(t).alias("base"),
                 _found(t, len(BASE), CANDIDATE, 0, 20).alias("candidates"))
-        .select("doc_id", F.concat("base", F.filter(
-            "candidates", lambda s: is_new(s) & is_random(s))).alias("spans")))
+        .select("doc_id", F.concat("base", F.filter(F.transform(
+            new_ones(base, F.col("candidates")), lambda r: r["span"]), is_random)).alias("spans")))
     return found.select("doc_id", F.transform(F.sort_array("spans"), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.get(names, s["kind"]).alias("kind"),
         s["value"].alias("value"))).alias("spans"))

@@ -41,3 +41,21 @@ def test_random_runs_are_added_and_words_are_not(docs):
 
 def test_nothing_labelled(odd):
     assert set(ratio_table(odd)) == {0.0}
+
+
+def test_many_matches_and_a_long_run(spark):
+    """Places by a prefix scan and the overlap test by one merge: linear in the matches and the run."""
+    import random
+
+    from newsroster.llm import secrets as S
+
+    rng = random.Random(3)
+    hexes = [''.join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(20_000)]
+    run = ''.join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1_000_000))
+    df = spark.createDataFrame([(1, " ".join(hexes)), (2, run), (3, "x " + hexes[0] + "Z" * 30)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in S.find_secrets(df, most=10).collect()}
+    spans = got[1]["spans"]
+    assert len(spans) == 20_000 and [(s["start"], s["end"]) for s in spans[:2]] == [(0, 32), (33, 65)]
+    assert all(s["kind"] == "hex" for s in spans)
+    # a candidate that a base match touches is no added span
+    assert [s["kind"] for s in got[3]["spans"]] == ["hex"]
