@@ -10,6 +10,8 @@ from ..schema import COMPLETED, FAILURES
 
 MARKER = "COMPLETE"
 KEPT = 2  # complete versions; older ones are deleted after a save
+# Errors that say a table of a marked version is damaged, not that the store cannot be reached.
+DAMAGED = ("PATH_NOT_FOUND", "CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE", "UNABLE_TO_INFER_SCHEMA")
 
 
 def _files(spark: SparkSession, path: str):
@@ -52,15 +54,23 @@ class StateStore:
                 self._table(version, "failures", FAILURES))
 
     def _table(self, version: int, name: str, schema) -> DataFrame:
-        """A table of a version. One that cannot be read is empty as a whole, never in part."""
+        """A table of a version. A damaged one (missing, unreadable footer, no schema) is empty as a
+        whole, never in part, and the job asks again what it held; any other error, such as a store
+        that cannot be reached, is raised, so that no job starts over from an empty state by mistake."""
         empty = self.spark.createDataFrame([], schema)
         if version == 0:
             return empty
         path = f"{self.path}/v={version}/{name}"
         try:
             found = self.spark.read.parquet(path).schema
-        except (PySparkException, Py4JJavaError):
-            return empty
+        except PySparkException as error:
+            if (error.getCondition() or "").split(".")[0] in DAMAGED:
+                return empty
+            raise
+        except Py4JJavaError as error:  # a failed footer read comes as a failed job
+            if any(condition in str(error.java_exception) for condition in DAMAGED):
+                return empty
+            raise
         return self.spark.read.schema(schema).parquet(path) if set(
             schema.names) <= set(found.names) else empty
 

@@ -456,3 +456,26 @@ def test_pages_not_wanted_are_dropped_before_parsing(spark):
     whole = {r["url"]: tuple(r) for r in page_facts(pages).join(links, F.col("url") == F.col("Link"), "left_semi").collect()}
     assert {r["url"]: tuple(r) for r in page_facts(pages, wanted=links).join(
         links, F.col("url") == F.col("Link"), "left_semi").collect()} == whole
+
+
+def test_damaged_state_is_empty_and_other_errors_are_raised(spark, tmp_path, monkeypatch):
+    store = StateStore(spark, str(tmp_path / "state"))
+    done = spark.createDataFrame([("a", [])], COMPLETED)
+    store.save(done, spark.createDataFrame([("b", 1)], FAILURES))
+    broken = tmp_path / "state" / f"v={store.version()}" / "failures"
+    for part in broken.glob("*.parquet"):
+        part.write_bytes(b"damaged")
+    completed, failures = store.load()
+    assert completed.count() == 1 and failures.count() == 0
+    from pyspark.errors import PySparkException
+
+    class Unreachable(PySparkException):
+        def getCondition(self):
+            return "CONNECTION_REFUSED"
+
+    def refuse(*args, **kwargs):
+        raise Unreachable("store down")
+
+    monkeypatch.setattr(type(spark.read), "parquet", refuse)
+    with pytest.raises(Unreachable):
+        store.load()
