@@ -264,7 +264,8 @@ def near_duplicates(
 
     First round: per n-gram, every group is paired only with the group where the n-gram stands
     foremost, and within a group every set with one of it; pairs expand to sets. Second round:
-    what shares an n-gram but lies in different components so far is paired. Before a pair is
+    what shares an n-gram but lies in different components so far is paired; n-grams of a single
+    group count too, by the first of its prefix, if several of its sets may link. Before a pair is
     emitted it must pass the bounds by size, place and bitmap, which no linking pair fails; the
     whole texts decide. Any two linked documents share an n-gram of their prefixes, so each link
     is found, or both ends are connected already: the components are exact. Copies of one text,
@@ -274,12 +275,17 @@ def near_duplicates(
     usable = found.where("n > 0 AND doc_id IS NOT NULL")
     sets = stored(usable.groupBy("set_id").agg(
         F.min("doc_id").alias("doc"), F.min("g").alias("g"), F.min("n").alias("n"),
-        F.first("bits").alias("bits"), F.first("wide").alias("wide")), "jaccard-sets")
+        F.first("bits").alias("bits"), F.first("wide").alias("wide"),
+        F.min(F.get("tokens", F.lit(0))).alias("head")), "jaccard-sets")
     rows = usable.select("g", "n", F.posexplode("tokens").alias("pos", "token")).select(
         "token", "g", (F.col("pos").cast("long") * (1 << 32) + F.col("n")).alias("place"))
+    # Different sets of one size n can link if all but one of their n-grams may be shared.
+    crowded = sets.where(100 * (F.col("n") - 1) >= percent * (F.col("n") + 1)).groupBy("g").agg(
+        F.count(F.lit(1)).alias("k"), F.min("head").alias("token")).where("k > 1")
     common = stored(
         rows.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"))
-        .where("low < high").select("token"), "jaccard-tokens")
+        .where("low < high").select("token").union(crowded.select("token")).distinct(),
+        "jaccard-tokens")
     hits = stored(rows.join(common, "token").distinct(), "jaccard-hits").select(
         "token", "g", "place", (F.col("place") % (1 << 32)).cast("int").alias("n"),
         F.floor(F.col("place") / (1 << 32)).cast("int").alias("pos"))

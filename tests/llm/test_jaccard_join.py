@@ -70,6 +70,19 @@ def test_components(docs, seed, width, percent):
     check(docs(*enumerate(texts)), width, percent)
 
 
+def test_links_inside_a_group(docs):
+    """Sets of equal prefix and size whose prefix no other group has; most of them are far apart."""
+    draw = random.Random(5)
+    pool, texts = [f"p{k}" for k in range(120)], []
+    for c in range(5):
+        rare = [f"r{c}x{k}" for k in range(7)]
+        tails = [draw.sample(pool, 33) for _ in range(6)]
+        tails.append(tails[0][1:] + draw.sample(sorted(set(pool) - set(tails[0])), 1))
+        texts += [" ".join(rare + tail) for tail in tails]
+    texts += [" ".join(draw.sample(pool, 60)) for _ in range(20)]
+    check(docs(*enumerate(texts)), 1, 85)
+
+
 def test_odd_rows(odd):
     check(odd, 4, 85)
     assert near_duplicates(odd.limit(0)).collect() == []
