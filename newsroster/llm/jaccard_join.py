@@ -161,20 +161,25 @@ def sketches(docs: DataFrame, id: str, text: str, width: int, percent: int,
         "doc_id", "x.*")
 
 
-def _among(ids: DataFrame, column: Column) -> Column:
-    """A condition that holds for all ``ids`` (column ``id``) and few other values: a Bloom
-    filter of fixed size (128 kB) as a constant. It thins out rows before a join decides."""
-    place = F.xxhash64("id").bitwiseAND(F.lit(BLOOM_BITS - 1).cast("long"))
-    words = ids.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
-        F.bit_or(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("bits"))
-    filled = [0] * (BLOOM_BITS // 64)
-    for w, bits in words.collect():
-        filled[w] = bits
-    constant = F.split(F.lit(",".join(map(str, filled))), ",").cast("array<bigint>")
-    own = F.xxhash64(column).bitwiseAND(F.lit(BLOOM_BITS - 1).cast("long"))
-    word = F.get(constant, F.shiftright(own, 6).cast("int"))
-    return F.getbit(word, own.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
+def _among(rows: DataFrame, name: str, ids: DataFrame) -> DataFrame:
+    """Those ``rows`` whose column ``name`` is among ``ids`` (column ``id``), and few others: a
+    Bloom filter of fixed size (at most 16,384 words), broadcast as a table. It thins out rows
+    before a join decides."""
+    def place(column: str) -> Column:
+        return F.xxhash64(column).bitwiseAND(F.lit(BLOOM_BITS - 1).cast("long"))
+
+    def word(p: Column) -> Column:
+        return F.shiftright(p, 6).cast("int")
+
+    def bit(p: Column) -> Column:
+        return p.bitwiseAND(F.lit(63).cast("long")).cast("int")
+
+    p = F.col("p")
+    words = stored(ids.select(place("id").alias("p")).groupBy(word(p).alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(p))).alias("bits")),
+        "jaccard-bloom")
+    return rows.withColumn("p", place(name)).withColumn("w", word(p)).join(
+        F.broadcast(words), "w").where(F.getbit("bits", bit(p)) == 1).select(*rows.columns)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id: str, text: str, width: int,
@@ -200,7 +205,7 @@ def verified(pairs: DataFrame, docs: DataFrame, id: str, text: str, width: int,
 
     wanted = pairs.select(F.col("a_doc").alias("id")).union(pairs.select("b_doc"))
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
-    texts = rows.where(_among(wanted, F.col("id")) & F.col("t").isNotNull())
+    texts = _among(rows.where("t IS NOT NULL"), "id", wanted)
     joined = (
         pairs.join(texts.select(F.col("id").alias("a_doc"), F.col("t").alias("a_text")), "a_doc")
         .join(texts.select(F.col("id").alias("b_doc"), F.col("t").alias("b_text")), "b_doc"))

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from newsroster.llm.jaccard_join import drop_near_duplicates, near_duplicates, prefix_length
+from newsroster.llm.jaccard_join import _among, drop_near_duplicates, near_duplicates, prefix_length
 
 
 def brute(rows, width, percent):
@@ -102,3 +102,12 @@ def test_one_of_each_group_stays(docs):
     kept = drop_near_duplicates(rows)
     assert kept.columns == rows.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3]
+
+
+def test_the_filter_of_ids_is_no_part_of_the_plan(spark):
+    """A plan with the filter as a literal is some 100 kB, and the driver holds many of its texts."""
+    ids = spark.range(0, 40_000, 2)
+    kept = _among(spark.range(80_000).selectExpr("id", "'x' AS t"), "id", ids)
+    assert len(kept._jdf.queryExecution().toString()) < 10_000
+    found = {r.id for r in kept.collect()}
+    assert kept.columns == ["id", "t"] and found >= set(range(0, 40_000, 2)) and len(found) < 30_000
