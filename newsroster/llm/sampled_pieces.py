@@ -11,11 +11,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .pieces import TokenNumbers, Vocabulary, new_depth, slices
+from .pieces import TokenNumbers, Vocabulary, slices
 from .workers import worker_state
 
 MOST_NODES = 150_000  # lattice nodes that a worker remembers between batches
 LONG = 64  # longer pre-tokens share no prefixes, so that their scores can be rescaled
+MOST_TOKENS = 8_192  # pre-tokens whose lattices are built at a time
+MOST_PIECES = 250_000  # pieces that are decoded at a time, or one longer text
 TINY, SCALE = 1e-200, 1e200
 
 
@@ -28,11 +30,22 @@ class Lattices:
     """
 
     def __init__(self, vocabulary: Vocabulary, temper: float):
-        self.known = {
-            p: None if x is None else (math.exp(temper * x), vocabulary.ids[p])
-            for p, x in vocabulary.by_suffix().items()}
+        known = vocabulary.by_suffix()
+        weight = {p: math.exp(temper * x) for p, x in known.items() if x is not None}
         self.byte_weight = math.exp(temper * vocabulary.byte_log_p)
+        self.byte_weights = np.array([self.byte_weight ** n for n in range(5)])
         self.byte_ids = np.array(vocabulary.byte_ids, np.int32)
+        # The suffixes of pieces as a trie that is read backwards: a state per suffix, 0 for none.
+        order = sorted(known, key=len)
+        state = {p: k for k, p in enumerate(order, 1)}
+        self.weights, self.ids = np.zeros(len(order) + 1), np.full(len(order) + 1, -1, np.int32)
+        for p, w in weight.items():
+            self.weights[state[p]], self.ids[state[p]] = w, vocabulary.ids[p]
+        self.steps = np.array([state.get(p[1:], 0) << 21 | ord(p[0]) for p in order], np.int64)
+        self.reached = np.argsort(self.steps) + 1
+        self.steps.sort()
+        self.known = None
+        self.vocabulary, self.temper = vocabulary, temper
         self.numbers = TokenNumbers()
         self.clear()
 
@@ -45,55 +58,130 @@ class Lattices:
         self.below = np.zeros(0)  # share of the shorter edges of the same node
         self.code, self.origin = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
+    def step(self, states: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The states after one more character to the left."""
+        wanted = states << 21 | chars
+        at = np.minimum(np.searchsorted(self.steps, wanted), len(self.steps) - 1)
+        return np.where(self.steps[at] == wanted, self.reached[at], 0)
+
+    def extend(self, widths, below, totals, codes, origins):
+        self.last = np.concatenate([self.last, len(self.code) + np.cumsum(widths) - 1])
+        self.below = np.concatenate([self.below, below / np.repeat(totals, widths)])
+        self.code = np.concatenate([self.code, codes])
+        self.origin = np.concatenate([self.origin, origins])
+
     def add(self, tokens: list[str]) -> list[int]:
         """Nodes of tokens; a prefix shared with the token before is reused, so sort them."""
+        short = [k for k, token in enumerate(tokens) if len(token) <= LONG]
+        ends = np.zeros(len(tokens), np.int64)
+        for first in range(0, len(short), MOST_TOKENS):
+            part = short[first:first + MOST_TOKENS]
+            ends[part] = self.add_short([tokens[k] for k in part])
+        for k, token in enumerate(tokens):
+            if len(token) > LONG:
+                ends[k] = self.add_long(token)
+        return ends.tolist()
+
+    def add_short(self, tokens: list[str]) -> np.ndarray:
+        """Many tokens at a time: their edges by steps through the trie, their weights by place."""
+        sizes = np.array(list(map(len, tokens)), np.int64)
+        wide = int(sizes.max())
+        joined = "".join(token.ljust(wide, "\0") for token in tokens)
+        chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, wide)
+        inside = np.arange(wide) < sizes[:, None]
+        # Characters shared with the token before; padding counts as different.
+        fresh = inside.copy()
+        fresh[1:] &= ~np.logical_and.accumulate((chars[1:] == chars[:-1]) & inside[1:] & inside[:-1], axis=1)
+        row, place = np.nonzero(fresh)
+        base, n = len(self.last), len(row)
+        path = np.zeros((len(tokens), wide + 1), np.int32)  # the root, then a node per character
+        path[row, place + 1] = np.arange(base, base + n)
+        np.maximum.accumulate(path, axis=0, out=path)
+
+        nodes, at, states = [], np.arange(n), np.zeros(n, np.int64)
+        for k in range(wide):  # the edge of k + 1 characters
+            start = place[at] - k
+            char = chars[row[at], start].astype(np.int64)
+            states = self.step(states, char)
+            ids = self.ids[states]
+            edge = ids >= 0
+            code, weight = ids, self.weights[states]
+            if not k:
+                code = np.where(edge, ids, -1 - char)
+                weight = np.where(edge, weight, self.byte_weights[
+                    1 + (char > 0x7F) + (char > 0x7FF) + (char > 0xFFFF)])
+                edge = np.ones(n, bool)
+            nodes.append((at[edge], code[edge], weight[edge], path[row[at[edge]], start[edge]]))
+            on = (states > 0) & (start > 0)
+            at, states = at[on], states[on]
+            if not len(at):
+                break
+        node, code, weight, origin = map(np.concatenate, zip(*nodes))
+        order = np.argsort(node, kind="stable")  # by node, short edges first
+        node, code, weight, origin = node[order], code[order], weight[order], origin[order]
+        widths = np.bincount(node, minlength=n)
+        firsts = np.cumsum(widths) - widths
+
+        # What a node gets lies at lower places of its token; its edges are summed in order.
+        totals, below = np.zeros(n), np.zeros(len(node))
+        forward = np.ones(n + 1)  # of the root, then of the nodes made here
+        by_place = np.argsort(place, kind="stable")
+        for own in np.split(by_place, np.cumsum(np.bincount(place, minlength=wide))[:-1]):
+            k, sums = 0, np.zeros(len(own))
+            live = np.arange(len(own))
+            while len(live):
+                edge = firsts[own[live]] + k
+                below[edge] = sums[live]
+                sums[live] += forward[np.maximum(origin[edge] - base + 1, 0)] * weight[edge]
+                k += 1
+                live = live[widths[own[live]] > k]
+            totals[own] = sums
+            forward[own + 1] = sums
+        self.extend(widths, below, totals, code.astype(np.int32), origin)
+        return path[np.arange(len(tokens)), sizes].astype(np.int64)
+
+    def add_long(self, token: str) -> int:
+        """One token, its weights rescaled on the way."""
+        if self.known is None:
+            self.known = {
+                p: None if x is None else (math.exp(self.temper * x), self.vocabulary.ids[p])
+                for p, x in self.vocabulary.by_suffix().items()}
         known = self.known
         totals, below, widths = array("d"), array("d"), array("i")
-        codes, origins, ends = array("i"), array("i"), []
+        codes, origins = array("i"), array("i")
         node = len(self.last)
-        forward, path, previous = [1.0], [0], ""
-        for token in tokens:
-            long = len(token) > LONG
-            depth = 0 if long else new_depth(previous, token)
-            del forward[depth + 1:], path[depth + 1:]
-            for end in range(depth + 1, len(token) + 1):
-                first = len(codes)
-                start = end - 1
-                piece = token[start]
+        forward, path = [1.0], [0]
+        for end in range(1, len(token) + 1):
+            first = len(codes)
+            start = end - 1
+            piece = token[start]
+            entry = known.get(piece)
+            if entry is None:
+                n = len(piece.encode("utf-8", "surrogatepass"))
+                entry = self.byte_weight ** n, -1 - ord(piece)
+            below.append(0.0)
+            codes.append(entry[1])
+            origins.append(path[start])
+            total = forward[start] * entry[0]
+            while start and piece in known:
+                start -= 1
+                piece = token[start:end]
                 entry = known.get(piece)
-                if entry is None:
-                    n = len(piece.encode("utf-8", "surrogatepass"))
-                    entry = self.byte_weight ** n, -1 - ord(piece)
-                below.append(0.0)
-                codes.append(entry[1])
-                origins.append(path[start])
-                total = forward[start] * entry[0]
-                while start and piece in known:
-                    start -= 1
-                    piece = token[start:end]
-                    entry = known.get(piece)
-                    if entry is not None:
-                        below.append(total)
-                        codes.append(entry[1])
-                        origins.append(path[start])
-                        total += forward[start] * entry[0]
-                totals.append(total)
-                widths.append(len(codes) - first)
-                forward.append(total)
-                path.append(node)
-                node += 1
-                if long and total < TINY:
-                    forward[-17:] = [x * SCALE for x in forward[-17:]]
-            ends.append(path[-1])
-            previous = "" if long else token
-            if long:
-                del forward[1:], path[1:]
-        widths = np.array(widths, np.int64)
-        self.last = np.concatenate([self.last, len(self.code) + np.cumsum(widths) - 1])
-        self.below = np.concatenate([self.below, np.array(below) / np.repeat(totals, widths)])
-        self.code = np.concatenate([self.code, np.array(codes, np.int32)])
-        self.origin = np.concatenate([self.origin, np.array(origins, np.int32)])
-        return ends
+                if entry is not None:
+                    below.append(total)
+                    codes.append(entry[1])
+                    origins.append(path[start])
+                    total += forward[start] * entry[0]
+            totals.append(total)
+            widths.append(len(codes) - first)
+            forward.append(total)
+            path.append(node)
+            node += 1
+            if total < TINY:
+                forward[-17:] = [x * SCALE for x in forward[-17:]]
+        self.extend(np.array(widths, np.int64), np.array(below), totals,
+                    np.array(codes, np.int32), np.array(origins, np.int32))
+        return path[-1]
 
     def renew(self):
         """Start again with room, keeping the pre-tokens that came back: those of two or more
@@ -237,11 +325,19 @@ def decode(spark: SparkSession, ids: Column, model_path: str | None = None) -> C
 
     @F.arrow_udf("string")
     def decoded(rows: pa.Array) -> pa.Array:
-        bytes_of = shared.value.__getitem__
-        return pa.array([
-            None if row is None else b"".join(map(bytes_of, row))[1:].decode("utf-8", "replace")
-            for row in (x.values.to_numpy().tolist() if x.is_valid else None for x in rows)],
-            pa.string())
+        table, parts = pa.array(shared.value, pa.binary()), []
+        for begin, end in slices(pc.fill_null(pc.list_value_length(rows), 0).to_pylist(), MOST_PIECES):
+            part = rows.slice(begin, end - begin)
+            offsets = part.offsets
+            pieces = table.take(part.values.slice(offsets[0].as_py(), offsets[-1].as_py() - offsets[0].as_py()))
+            joined = pc.binary_join(pa.ListArray.from_arrays(
+                pc.subtract(offsets, offsets[0]), pieces, mask=part.is_null()), b"")
+            bare = pc.binary_replace_slice(joined, 0, 1, b"")  # without the blank in front
+            try:
+                parts.append(bare.cast(pa.string()))
+            except pa.ArrowInvalid:  # not UTF-8
+                parts.append(pa.array([x and x.decode("utf-8", "replace") for x in bare.to_pylist()], pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return decoded(ids)
 

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import numpy as np
@@ -115,3 +116,22 @@ def test_kept_pre_tokens_give_the_same_pieces(monkeypatch):
     for (a, n), (b, m) in zip(want, got):
         assert a.tolist() == b.tolist() and n.tolist() == m.tolist()
     assert len(renewals) >= 5 and (small.uses >= 2).any()  # renewed on the way, frequent ones kept
+
+
+def test_lattices_of_many_tokens_are_those_of_each(vocabulary):
+    """Built together they have the edges and shares that one token built alone has."""
+    draw = random.Random(8)
+    tokens = sorted({draw.choice(["", " "]) + "".join(draw.choice("abeinst😀漢é\0½ ") for _ in range(draw.randint(1, 12)))
+                     for _ in range(400)} | {"e" * 64, "\n", " the", " them", " theme"})
+    together, alone = S.Lattices(vocabulary, 0.7), S.Lattices(vocabulary, 0.7)
+
+    def edges(lattices, node):
+        while node:
+            low = lattices.last[node - 1] + 1
+            yield [(lattices.below[k], lattices.code[k]) for k in range(low, lattices.last[node] + 1)]
+            node = lattices.origin[low]  # the shortest edge has one character
+
+    assert together.add_short(["x"]).tolist() == [1]
+    for token, node in zip(tokens, together.add_short(tokens)):
+        assert list(edges(together, node)) == list(edges(alone, alone.add_long(token)))
+    assert np.all(np.diff(together.last) > 0)
