@@ -123,12 +123,12 @@ def collect(
         pages = query_pages(asked, max_results, tries, meta_pages, with_run)
         outcomes = query_outcomes(pages, max_results)
     failed = F.coalesce(F.col("status") == "failed", F.lit(False))
-    if with_run:
-        ledger = ledger.select("query", F.col("run").cast("int")).unionByName(
+    if with_run:  # two tables come from the outcomes: the ledger and, through its counts, the run
+        outcomes = cut_lineage(outcomes)
+        ledger = cut_lineage(ledger.select("query", F.col("run").cast("int")).unionByName(
             outcomes.where(failed).select("query", F.coalesce("failed_run", F.lit(0)).cast("int").alias("run"))
-        ).distinct()
+        ).distinct())
         failures = ledger.groupBy("query").agg(F.count(F.lit(1)).cast("int").alias("n"))
-        ledger = cut_lineage(ledger)
         outcomes = outcomes.drop("failed_run")
     run = outcomes.join(
         failures.withColumnRenamed("n", "before"), "query", "full")

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from newsroster.plans.collect import collect
 from newsroster.schema import COMPLETED
 from newsroster.sinks.delta_state import LEDGER, DeltaState
 from newsroster.streaming.resume import resume_delta
@@ -60,3 +61,24 @@ def test_deltas_follow_the_batch_and_replay_is_equal(spark, tmp_path):
     assert _state(state) == after
     state.write(2, completed=spark.createDataFrame([row("d", [])], COMPLETED))
     assert set(_state(state)[0]) == {"a", "b", "c", "d"}
+
+
+def test_a_run_with_a_ledger_reads_its_bodies_once(spark):
+    """The ledger, the counts and the finished queries come from one pass over the attempts."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(body):
+        read.add(1)
+        return body
+
+    rows = landed(spark, *[attempt(q, 1, {"items": [hit(q)]}, run=1) for q in "abc"],
+                  *[attempt("d", 1, "", 500, t, run=1) for t in (1, 2, 3)])
+    people = roster(spark, *[("", q, "", "") for q in "abcd"])
+    run = collect(people, rows.withColumn("body", noted.asNondeterministic()("body")),
+                  spark.createDataFrame([], COMPLETED), None, ledger=spark.createDataFrame([("d", 0)], LEDGER),
+                  max_results=10)
+    assert {r["query"] for r in run.done.collect()} == {"a", "b", "c"}
+    assert sorted(map(tuple, run.ledger.collect())) == [("d", 0), ("d", 1)]
+    assert {r["query"]: r["n"] for r in run.failures.collect()} == {"d": 2}
+    assert read.value == 6
