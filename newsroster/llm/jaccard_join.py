@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import sampled_ids, stored
 from .components import components
-from .pieces import slices
-from .workers import worker_state
+from .workers import in_slices, worker_state
 
 MOST_WORDS = 100_000  # distinct words whose hashes a worker remembers between slices
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
@@ -76,12 +76,6 @@ def _shingler(width: int) -> Shingler:
     return worker_state(("shingles", width), lambda: Shingler(width))
 
 
-def _sliced(texts: pa.Array):
-    lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
-    for begin, end in slices(lengths):
-        yield texts.slice(begin, end - begin).to_pylist()
-
-
 def frequent_shingles(
     docs: DataFrame, id: str, text: str, width: int, sample: int, most: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -92,9 +86,10 @@ def frequent_shingles(
     n-grams) touch no result.
     """
     @F.arrow_udf("array<bigint>")
-    def shingled(texts: pa.Array) -> pa.Array:
-        sets = [s.view(np.int64) for part in _sliced(texts) for s in _shingler(width)(part)]
-        return pa.array(sets, pa.list_(pa.int64()))
+    def shingled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts, in in_slices(batches, pc.utf8_length):
+            sets = [s.view(np.int64) for s in _shingler(width)(texts.to_pylist())]
+            yield pa.array(sets, pa.list_(pa.int64()))
 
     ids = F.broadcast(sampled_ids(docs, id, sample, "shingles"))
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
@@ -131,11 +126,11 @@ def sketches(docs: DataFrame, id: str, text: str, width: int, percent: int,
 
     @F.arrow_udf("struct<n:int,set_id:binary,g:bigint,bits:array<bigint>,wide:array<bigint>,"
                  "tokens:array<bigint>>")
-    def sketched(texts: pa.Array) -> pa.Array:
+    def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes, counts = shared.value
-        sizes, set_ids, groups, bits, wide, tokens = [], [], [], [], [], []
-        for part in _sliced(texts):
-            for s in _shingler(width)(part):
+        for texts, in in_slices(batches, pc.utf8_length):
+            sizes, set_ids, groups, bits, wide, tokens = [], [], [], [], [], []
+            for s in _shingler(width)(texts.to_pylist()):
                 n, prefix = len(s), s
                 if n:
                     rank = np.zeros(n, np.int64)
@@ -149,11 +144,11 @@ def sketches(docs: DataFrame, id: str, text: str, width: int, percent: int,
                 bits.append(bitmap(s, BITS))
                 wide.append(bitmap(s, WIDE_BITS) if n >= LARGE else s[:0].view(np.int64))
                 tokens.append(prefix.view(np.int64))
-        return pa.StructArray.from_arrays(
-            [pa.array(sizes, pa.int32()), pa.array(set_ids, pa.binary()),
-             pa.array(np.array(groups, np.uint64).view(np.int64)),
-             *[pa.array(x, pa.list_(pa.int64())) for x in (bits, wide, tokens)]],
-            fields=list(kind))
+            yield pa.StructArray.from_arrays(
+                [pa.array(sizes, pa.int32()), pa.array(set_ids, pa.binary()),
+                 pa.array(np.array(groups, np.uint64).view(np.int64)),
+                 *[pa.array(x, pa.list_(pa.int64())) for x in (bits, wide, tokens)]],
+                fields=list(kind))
 
     return docs.select(
         F.col(f"`{id}`").alias("doc_id"),
@@ -189,19 +184,19 @@ def verified(pairs: DataFrame, docs: DataFrame, id: str, text: str, width: int,
     Texts rather than sets travel, as they compress, and only those of documents in pairs.
     """
     @F.arrow_udf("boolean")
-    def links(a: pa.Array, a_text: pa.Array, b: pa.Array, b_text: pa.Array) -> pa.Array:
-        found = []
-        lengths = pc.add(pc.utf8_length(a_text), pc.utf8_length(b_text)).to_pylist()
-        for begin, end in slices(lengths):
-            part = [x.slice(begin, end - begin).to_pylist() for x in (a, a_text, b, b_text)]
-            left, right = _shingler(width)(part[1]), _shingler(width)(part[3])
-            for a_id, x, b_id, y in zip(part[0], left, part[2], right):
+    def links(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for part in in_slices(batches, lambda a, a_text, b, b_text: pc.add(
+                pc.utf8_length(a_text), pc.utf8_length(b_text))):
+            a, a_text, b, b_text = [column.to_pylist() for column in part]
+            left, right = _shingler(width)(a_text), _shingler(width)(b_text)
+            found = []
+            for a_id, x, b_id, y in zip(a, left, b, right):
                 same = len(np.intersect1d(x, y, assume_unique=True))
                 # Rows that repeat an id may have another text than the one meant.
                 found.append(100 * same >= percent * (len(x) + len(y) - same)
                              and xxhash.xxh3_128_digest(x.tobytes()) == a_id
                              and xxhash.xxh3_128_digest(y.tobytes()) == b_id)
-        return pa.array(found, pa.bool_())
+            yield pa.array(found, pa.bool_())
 
     wanted = pairs.select(F.col("a_doc").alias("id")).union(pairs.select("b_doc"))
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))

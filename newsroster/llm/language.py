@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .pieces import slices
-from .workers import worker_state
+from .workers import in_slices, worker_state
 
 ORDER = 3  # bytes of context at most
 PAD = b"\n" * ORDER  # context before the first byte
@@ -175,12 +176,11 @@ def identify(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
                       ("bits_per_byte", pa.float64())])
 
     @F.arrow_udf("struct<lang_pred:string,score:double,bits_per_byte:double>")
-    def identified(texts: pa.Array) -> pa.Array:
+    def identified(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = worker_state(run, lambda: Scorer(shared.value))
         languages = scorer.model.languages
-        names, scores, rates = [], [], []
-        for begin, end in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
-            part = texts.slice(begin, end - begin).to_pylist()
+        for texts, in in_slices(batches, pc.binary_length):
+            part = texts.to_pylist()
             known = np.array([bool(languages and t and has_letter(t)) for t in part])
             raw = [t.encode("utf-8", "replace") if ok else b"" for t, ok in zip(part, known)]
             if not languages:
@@ -190,12 +190,11 @@ def identify(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
             best = bits.argmin(1)
             least = bits[np.arange(len(part)), best]
             share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
-            names += [languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), known)]
-            scores.append(np.where(known, share, 0.0))
-            rates.append(np.where(known, least / np.maximum(1, [len(r) for r in raw]), 0.0))
-        return pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores])),
-             pa.array(np.concatenate([np.zeros(0), *rates]))], fields=list(kind))
+            names = [languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), known)]
+            rates = np.where(known, least / np.maximum(1, [len(r) for r in raw]), 0.0)
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(np.where(known, share, 0.0)), pa.array(rates)],
+                fields=list(kind))
 
     # Said to be nondeterministic only to keep the optimizer from running it once per use.
     return identified.asNondeterministic()(text)

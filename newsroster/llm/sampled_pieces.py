@@ -5,14 +5,15 @@ from __future__ import annotations
 import math
 import uuid
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .pieces import TokenNumbers, Vocabulary, slices
-from .workers import worker_state
+from .pieces import TokenNumbers, Vocabulary
+from .workers import in_slices, worker_state
 
 MOST_NODES = 150_000  # lattice nodes that a worker remembers between batches
 LONG = 64  # longer pre-tokens share no prefixes, so that their scores can be rescaled
@@ -283,6 +284,29 @@ def encode_batch(lattices: Lattices, keys: list[int], texts: list[str]) -> tuple
     return pieces, ends[firsts + sizes] - ends[firsts]
 
 
+def encoded_slices(lattices: Lattices, batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Piece ids of batches of keys and texts, an array per slice."""
+    for keys, texts in in_slices(batches, lambda _, texts: pc.utf8_length(texts)):
+        ids, counts = encode_batch(
+            lattices, pc.fill_null(keys, 0).to_pylist(), pc.fill_null(texts, "").to_pylist())
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=texts.is_null())
+
+
+def decoded_slices(table: pa.Array, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Texts of batches of piece ids, an array per slice."""
+    for rows, in in_slices(batches, pc.list_value_length, MOST_PIECES):
+        offsets = rows.offsets
+        pieces = table.take(rows.values.slice(offsets[0].as_py(), offsets[-1].as_py() - offsets[0].as_py()))
+        joined = pc.binary_join(pa.ListArray.from_arrays(
+            pc.subtract(offsets, offsets[0]), pieces, mask=rows.is_null()), b"")
+        bare = pc.binary_replace_slice(joined, 0, 1, b"")  # without the blank in front
+        try:
+            yield bare.cast(pa.string())
+        except pa.ArrowInvalid:  # not UTF-8
+            yield pa.array([x and x.decode("utf-8", "replace") for x in bare.to_pylist()], pa.string())
+
+
 def encode(spark: SparkSession, key: Column, text: Column, temper: float = 1.0,
            model_path: str | None = None) -> Column:
     """Sampled piece ids of a text, ``array<int>``; null stays null, empty gives an empty array.
@@ -295,25 +319,14 @@ def encode(spark: SparkSession, key: Column, text: Column, temper: float = 1.0,
     ``key`` (a long; null counts as 0), the place of the pre-token and nothing else: the same row
     gives the same pieces in any partitioning and on any retry.
 
-    Tasks work on slices of 500,000 characters, or one longer text; a worker keeps at most
-    150,000 lattice nodes between slices. No shuffle.
+    Tasks work on slices of 500,000 characters, or one longer text, and hand over the pieces of
+    each; a worker keeps at most 150,000 lattice nodes between slices. No shuffle.
     """
     shared, run = spark.sparkContext.broadcast(Vocabulary.load(model_path)), uuid.uuid4().hex
 
     @F.arrow_udf("array<int>")
-    def encoded(keys: pa.Array, texts: pa.Array) -> pa.Array:
-        lattices = worker_state(run, lambda: Lattices(shared.value, temper))
-        ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
-        for begin, end in slices(lengths):
-            got = encode_batch(
-                lattices, pc.fill_null(keys.slice(begin, end - begin), 0).to_pylist(),
-                pc.fill_null(texts.slice(begin, end - begin), "").to_pylist())
-            ids.append(got[0])
-            counts.append(got[1])
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
-        return pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(np.concatenate(ids)), mask=texts.is_null())
+    def encoded(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return encoded_slices(worker_state(run, lambda: Lattices(shared.value, temper)), batches)
 
     # Said to be nondeterministic only to keep the optimizer from running it once per use.
     return encoded.asNondeterministic()(key, text)
@@ -324,20 +337,8 @@ def decode(spark: SparkSession, ids: Column, model_path: str | None = None) -> C
     shared = spark.sparkContext.broadcast(Vocabulary.load(model_path).bytes_of())
 
     @F.arrow_udf("string")
-    def decoded(rows: pa.Array) -> pa.Array:
-        table, parts = pa.array(shared.value, pa.binary()), []
-        for begin, end in slices(pc.fill_null(pc.list_value_length(rows), 0).to_pylist(), MOST_PIECES):
-            part = rows.slice(begin, end - begin)
-            offsets = part.offsets
-            pieces = table.take(part.values.slice(offsets[0].as_py(), offsets[-1].as_py() - offsets[0].as_py()))
-            joined = pc.binary_join(pa.ListArray.from_arrays(
-                pc.subtract(offsets, offsets[0]), pieces, mask=part.is_null()), b"")
-            bare = pc.binary_replace_slice(joined, 0, 1, b"")  # without the blank in front
-            try:
-                parts.append(bare.cast(pa.string()))
-            except pa.ArrowInvalid:  # not UTF-8
-                parts.append(pa.array([x and x.decode("utf-8", "replace") for x in bare.to_pylist()], pa.string()))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return decoded_slices(pa.array(shared.value, pa.binary()), batches)
 
     return decoded(ids)
 

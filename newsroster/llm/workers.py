@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .pieces import slices
 
 _slot: dict[object, object] = {}
 
@@ -17,3 +22,17 @@ def worker_state(key: object, build: Callable[[], object]):
         _slot.clear()
         _slot[key] = build()
     return _slot[key]
+
+
+def in_slices(batches: Iterator, lengths: Callable[..., pa.Array],
+              most: int = 500_000) -> Iterator[tuple[pa.Array, ...]]:
+    """The columns of Arrow batches, a slice of rows at a time: at most ``most`` by ``lengths``
+    (null: 0), or one row.
+
+    A UDF that yields a result per slice never holds that of a whole batch, nor does the JVM, which
+    takes results as they come.
+    """
+    for batch in batches:
+        columns = batch if isinstance(batch, tuple) else (batch,)
+        for begin, end in slices(pc.fill_null(lengths(*columns), 0).to_pylist(), most):
+            yield tuple(column.slice(begin, end - begin) for column in columns)

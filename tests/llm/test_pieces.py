@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,34 @@ def test_lattices_of_many_tokens_are_those_of_each(vocabulary):
     for token, node in zip(tokens, together.add_short(tokens)):
         assert list(edges(together, node)) == list(edges(alone, alone.add_long(token)))
     assert np.all(np.diff(together.last) > 0)
+
+
+def test_pieces_are_handed_over_by_slice(vocabulary):
+    """What a task holds and sends at a time does not grow with its batches."""
+    texts = [("word%d " % k) * 60_000 for k in range(8)] + [None, "", "end"]
+    keys = pa.array(list(range(10)) + [None], pa.int64())
+    whole = S.encode_batch(S.Lattices(vocabulary, 1.0), list(range(10)) + [0], [t or "" for t in texts])[0]
+    table, taken, coded, back = pa.array(vocabulary.bytes_of(), pa.binary()), [], [], []
+
+    def batches():
+        for at in (0, 6):
+            taken.append(at)
+            yield keys.slice(at, 6), pa.array(texts, pa.string()).slice(at, 6)
+
+    for part in S.encoded_slices(S.Lattices(vocabulary, 1.0), batches()):
+        coded.append(part)
+        if len(coded) == 1:
+            assert taken == [0]  # the second batch is not read ahead
+        back += [x.to_pylist() for x in S.decoded_slices(table, iter([part]))]
+    assert [len(part) for part in coded] == [1] * 7 + [4]  # 360,000 characters a text
+    assert sum(back, []) == texts
+    assert np.concatenate([x.flatten().to_numpy() for x in coded]).tolist() == whole.tolist()
+    assert len(list(S.decoded_slices(table, iter([pa.concat_arrays(coded)])))) > 1
+
+
+def test_batches_of_many_slices(spark, docs):
+    """Rows keep their pieces where a batch holds many slices, with nulls and empty texts between."""
+    rows = [(k, None if k % 7 == 3 else "" if k % 7 == 5 else ("w%d x " % k) * 20_000) for k in range(30)]
+    coded = S.with_pieces(docs(*rows).coalesce(1)).select(
+        "doc_id", S.decode(spark, F.col("pieces")).alias("back"), F.col("pieces").isNull().alias("none"))
+    assert {r.doc_id: (r.back, r.none) for r in coded.collect()} == {k: (t, t is None) for k, t in rows}
